@@ -27,7 +27,13 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Fewer rows in an Arrow batch than Spark's default, as single texts may be very long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
 
 
 def shared_dir(spark: SparkSession) -> str:
