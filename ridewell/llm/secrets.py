@@ -136,5 +136,8 @@ def scan(docs: DataFrame) -> DataFrame:
 def op5(spark, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda x: x["kind"].isin(*BASE))
-    count = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return found.select("doc_id", *count, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, BASE), F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
