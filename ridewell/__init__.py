@@ -1,0 +1 @@
+"""Batch analytics over docked shared-mobility trips, as Spark DataFrames."""
