@@ -138,8 +138,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for _, edges, hashes, nodes in _sets(batches, k):
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], ["node", "tokens"])
+    """The sets of candidates, once for each block pair that asks for them."""
+    for part, edges, hashes, nodes in _sets(batches, k):
+        rows = []
+        for a, b, node, meant, asks in zip(edges[:-1], edges[1:], nodes.tolist(), part["node"].to_pylist(), part["asks"].to_pylist(), strict=True):
+            if node == meant:
+                tokens = hashes[a:b].tobytes()
+                rows += [(x["bi"], x["bj"], x["side"], node, tokens) for x in asks]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["bi", "bj", "side", "node", "tokens"])
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> np.ndarray:
@@ -256,11 +262,12 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     left, right = held.toDF("sig", "bi", "ni"), held.toDF("sig", "bj", "nj")
     pairs = left.join(right, "sig").filter("bi < bj or (bi = bj and ni > 1)").select("bi", "bj").distinct()
 
-    first = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(blocks, "node").select("doc_id").distinct()
-    texts = docs.join(first, "doc_id").mapInArrow(partial(_set_rows, k=k), "node long, tokens binary")
-    members = spill(texts.join(blocks, "node").dropDuplicates(["node"]))
-    sides = pairs.select("bi", "bj", F.explode(F.when(F.col("bi") == F.col("bj"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("side"))
-    rows = sides.withColumn("block", F.when(F.col("side") == 0, F.col("bi")).otherwise(F.col("bj"))).join(members, "block").select("bi", "bj", "side", "node", "tokens")
+    side = lambda i: F.struct("bi", "bj", F.lit(i).alias("side"))
+    ends = pairs.select(F.explode(F.when(F.col("bi") == F.col("bj"), F.array(side(0))).otherwise(F.array(side(0), side(1)))).alias("ask"))
+    asks = ends.withColumn("block", F.when(F.col("ask.side") == 0, F.col("ask.bi")).otherwise(F.col("ask.bj"))).groupBy("block").agg(F.collect_list("ask").alias("asks"))
+    # What each candidate is asked for is settled before its text moves, so that texts and sets move once.
+    asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(blocks, "node").join(asks, "block").select("doc_id", "node", "asks")
+    rows = docs.join(asked, "doc_id").select("text", "node", "asks").mapInArrow(partial(_set_rows, k=k), "bi long, bj long, side int, node long, tokens binary")
     links = rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "side").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
 
     label = components(links)
