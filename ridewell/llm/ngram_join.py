@@ -33,26 +33,35 @@ class Bands:
 
     def differ(self, g: int) -> int:
         """The most tokens in which two linked sets of group g (bands g and g - 1) differ."""
-        return (self.den - self.num) * 2 * (self.low[g + 1] - 1) // (self.den + self.num)
+        return self.apart(2 * (self.low[g + 1] - 1))
 
+    def apart(self, sizes: int) -> int:
+        """The most tokens in which two linked sets differ whose sizes sum to `sizes`."""
+        return (self.den - self.num) * sizes // (self.den + self.num)
 
-def allocate(differ: int, size: int, population: int) -> tuple[int, int]:
-    """Numbers of plain segments and of segments with one-deletion neighbourhoods, cheapest first.
+
+def allocate(differ: int, size: int, population: int, common: float = 0.25) -> tuple[int, int, int]:
+    """Numbers of plain segments and of segments with one-deletion neighbourhoods, and `differ`, at least cost.
 
     By the pigeonhole, segments that allow 0 or 1 differing tokens suffice when plain + 2 * deletion
-    exceeds `differ`. Cost: signatures of a set, and partners it meets only because both have no
-    token, or the same lone token, in a segment, which falls as segments get larger.
+    exceeds `differ`. Empty segments tell nothing, and where a set has enough others it is found
+    without them, so there are a few plain segments more than that, as many as will likely be empty.
+    Cost: signatures of a set, and partners it meets for want of a token of its own in a segment, a
+    share `common` of the tokens being common ones; that falls as segments get larger, so large
+    populations get deletions.
     """
     best = None
     for deletion in sorted({round((differ + 1) * f / 2) for f in (0, 0.25, 0.5, 0.75, 1)}):
         plain = max(0, differ + 1 - 2 * deletion)
+        void = plain * math.exp(-size / (plain + deletion))
+        plain += math.ceil(void + 3 * math.sqrt(void)) if plain else 0
         m = plain + deletion
         mean = size / m
-        chance = math.exp(-2 * mean) * (plain + deletion * (1 + mean))
-        cost = plain + deletion * (1 + mean) + population * chance
+        met = population * math.exp(-2 * mean * (1 - common)) * (plain + deletion * (1 + mean))
+        cost = plain + deletion * (1 + mean) + met
         if best is None or cost < best[0]:
             best = cost, plain, deletion
-    return best[1], best[2]
+    return best[1], best[2], differ
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -65,16 +74,62 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.Record
             yield part, edges, hashes, nodes
 
 
-def _classes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for part, edges, _, nodes in _sets(batches, k):
-        yield pa.RecordBatch.from_arrays([part["doc_id"].cast(pa.int64()), pa.array(np.diff(edges)), pa.array(nodes)], ["doc_id", "n_shingles", "node"])
+def _classes(batches: Iterator[pa.RecordBatch], k: int, bands: Bands) -> Iterator[pa.RecordBatch]:
+    """doc_id, size and node of each set, and how its tokens fall into the cells of its two groups."""
+    for part, edges, hashes, nodes in _sets(batches, k):
+        sketches: tuple[list[bytes], list[bytes]] = ([], [])
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            band = bands.of(b - a) if b > a else 0
+            spread = mix(hashes[a:b] ^ np.uint64(0x5BD1E995)) >> np.uint64(33)
+            for i in (0, 1):
+                cells = max(8, bands.low[band + i] // 3)
+                sketches[i].append(np.minimum(np.bincount((spread % np.uint64(cells)).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes())
+        columns = [part["doc_id"].cast(pa.int64()), pa.array(np.diff(edges)), pa.array(nodes), *(pa.array(x, pa.binary()) for x in sketches)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "sketch", "next_sketch"])
+
+
+def _near(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.RecordBatch]:
+    """Of the nodes of each block pair and group, those whose sketch is not too far from some partner's.
 
+    Where two sets differ in the number of tokens of a cell, they differ in as many tokens at least.
+    """
+
+    def done(key: tuple, rows: list[tuple]) -> list[tuple]:
+        side = np.array([r[0] for r in rows])
+        size = np.array([r[2] for r in rows])
+        cells = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1).astype(np.int16)
+        two = bool(side.any())
+        found = np.zeros(len(rows), bool)
+        for i in np.flatnonzero(side == 0):
+            other = np.flatnonzero(side == 1) if two else np.arange(i + 1, len(rows))
+            most = (bands.den - bands.num) * (size[other] + size[i]) // (bands.den + bands.num)
+            other, most = other[np.abs(size[other] - size[i]) <= most], most[np.abs(size[other] - size[i]) <= most]
+            hit = other[np.abs(cells[other] - cells[i]).sum(1) <= most]
+            found[hit] = True
+            found[i] |= len(hit) > 0
+        return [(rows[i][1], key[0], key[1], rows[i][0]) for i in np.flatnonzero(found)]
+
+    key, held = None, []
+    for batch in batches:
+        out = []
+        for bi, bj, band, *row in zip(*(batch[c].to_pylist() for c in ("bi", "bj", "band", "side", "node", "n_shingles", "sketch")), strict=True):
+            if (bi, bj, band) != key:
+                out += done(key, held) if len(held) > 1 else []
+                key, held = (bi, bj, band), []
+            held.append(row)
+        yield _asks(out)
+    yield _asks(done(key, held) if len(held) > 1 else [])
 
-def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int]], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed (signature, node, kind) rows by bucket; kind 1 lacks one token."""
+
+def _asks(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["node", "bi", "bj", "side"])
+
+
+def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int, int]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed (signature, node, kind, need) rows by bucket; an odd kind lacks one token, kind // 2 is the group."""
     golden = np.uint64(0x9E3779B97F4A7C15)
     for _, edges, hashes, nodes in _sets(batches, k):
-        sigs, owners, kinds = [], [], []
+        sigs, owners, kinds, needs = [], [], [], []
         seen: set[int] = set()
         for a, b, node in zip(edges[:-1], edges[1:], nodes, strict=True):
             if a == b or int(node) in seen:
@@ -85,7 +140,7 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
             for g in (band, band + 1):
                 if g not in plan:
                     continue
-                plain, deletion = plan[g]
+                plain, deletion, differ = plan[g]
                 m = plain + deletion
                 segment = (mix(mine + np.uint64(g)) >> np.uint64(33)).astype(np.int64) % m
                 order = np.argsort(segment, kind="stable")
@@ -95,18 +150,28 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
                 at = np.searchsorted(seg, np.arange(m + 1))
                 totals = sums[at[1:]] - sums[at[:-1]]
                 salt = mix((np.arange(m, dtype=np.uint64) << np.uint64(16)) + np.uint64(g)) * golden
-                parts = [mix(totals + salt)]
+                full = at[1:] > at[:-1]
+                size, own = b - a, int(full[:plain].sum())
+                # Each plain segment with a token that the partner's is unlike is a differing token.
+                widest = min(bands.low[g + 1] - 1, size * bands.den // bands.num)
+                need = 1 if deletion else max(1, own - bands.apart(size + widest))
+                if own + 2 * deletion <= differ:
+                    full[:] = True  # too few to find every partner by: its empty segments count, too
+                    need = 1
+                full[plain:] = True
+                parts = [mix(totals + salt)[full]]
                 if deletion:
                     dropped = seg >= plain
                     parts.append(mix(totals[seg[dropped]] - tok[dropped] + salt[seg[dropped]]))
                 for kind, x in enumerate(parts):
                     sigs.append(x)
                     owners.append(np.full(len(x), node))
-                    kinds.append(np.full(len(x), kind, np.uint8))
+                    kinds.append(np.full(len(x), 2 * g + kind, np.uint16))
+                    needs.append(np.full(len(x), min(need, 65535), np.uint16))
         if sigs:
-            sig, owner, kind = map(np.concatenate, (sigs, owners, kinds))
+            sig, owner, kind, need = map(np.concatenate, (sigs, owners, kinds, needs))
             bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            rows = [(x, s.tobytes() + o.tobytes() + q.tobytes()) for x, (s, o, q) in by_bucket(bucket, buckets, sig, owner, kind)]
+            rows = [(x, b"".join(c.tobytes() for c in columns)) for x, columns in by_bucket(bucket, buckets, sig, owner, kind, need)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
 
 
@@ -115,37 +180,47 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
         for x in batch["packed"].to_pylist():
-            n = len(x) // 17
-            parts.append((np.frombuffer(x, np.uint64, n), np.frombuffer(x, np.int64, n, 8 * n), np.frombuffer(x, np.uint8, n, 16 * n)))
+            n = len(x) // 20
+            parts.append((np.frombuffer(x, np.uint64, n), np.frombuffer(x, np.int64, n, 8 * n), np.frombuffer(x, np.uint16, n, 16 * n), np.frombuffer(x, np.uint16, n, 18 * n)))
     if not parts:
         return
-    sig, node, kind = (np.concatenate(x) for x in zip(*parts, strict=True))
+    sig, node, kind, need = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
     order = np.lexsort((kind, node, sig))
-    sig, node, kind = sig[order], node[order], kind[order]
+    sig, node, kind, need = sig[order], node[order], kind[order], need[order]
     keep = np.ones(len(sig), bool)
     keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-    sig, node, kind = sig[keep], node[keep], kind[keep]
+    sig, node, kind, need = sig[keep], node[keep], kind[keep], need[keep]
     start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     size = np.diff(start, append=len(sig))
-    whole = np.add.reduceat((kind == 0).astype(np.int64), start)
+    whole = np.add.reduceat((kind % 2 == 0).astype(np.int64), start)
     group = np.repeat(np.arange(len(start)), size)
     pick = ((size > 1) & (whole > 0))[group]
     centre = node[start][group]
     for a in range(0, int(pick.sum()), 1 << 16):
         at = np.flatnonzero(pick)[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[at].view(np.int64)), pa.array(node[at]), pa.array(size[group[at]]), pa.array(centre[at])], ["sig", "node", "members", "centre"])
+        yield pa.RecordBatch.from_arrays([pa.array(sig[at].view(np.int64)), pa.array(node[at]), pa.array((kind[at] // 2).astype(np.int32)), pa.array(need[at].astype(np.int32)), pa.array(size[group[at]]), pa.array(centre[at])], ["sig", "node", "band", "need", "members", "centre"])
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], k: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The sets of candidates, once for each block pair that asks for them."""
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["bi", "bj", "side", "node", "tokens"])
+
     for part, edges, hashes, nodes in _sets(batches, k):
-        rows = []
+        rows, held = [], 0
         for a, b, node, meant, asks in zip(edges[:-1], edges[1:], nodes.tolist(), part["node"].to_pylist(), part["asks"].to_pylist(), strict=True):
-            if node == meant:
-                tokens = hashes[a:b].tobytes()
-                rows += [(x["bi"], x["bj"], x["side"], node, tokens) for x in asks]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["bi", "bj", "side", "node", "tokens"])
+            tokens = hashes[a:b].tobytes()
+            for x in asks if node == meant else ():
+                rows.append((x["bi"], x["bj"], x["side"], node, tokens))
+                held += len(tokens)
+                if held > most:
+                    yield made(rows)
+                    rows, held = [], 0
+        if rows:
+            yield made(rows)
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> np.ndarray:
@@ -233,15 +308,16 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
 
     Size bands keep linked sets in one group; a group's token universe is hashed into segments
     whose sums are signatures (see allocate()). Nodes that share a signature are put in blocks of
-    about 256 by the largest signature group they are in, block pairs that share a signature are
-    verified exactly, and a pair of blocks sends on a spanning forest of its links only.
+    about 256 by the first node of the largest signature group they are in; for two blocks, or one, those of their
+    nodes that share a signature are verified exactly in one place, which sends on a spanning forest
+    of the links only.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    classes = spill(docs.mapInArrow(partial(_classes, k=k), "doc_id long, n_shingles long, node long"))
+    bands = Bands(num, den, 1 << 40)
+    classes = spill(docs.mapInArrow(partial(_classes, k=k, bands=bands), "doc_id long, n_shingles long, node long, sketch binary, next_sketch binary"))
     sizes = classes.filter("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n"))
-    totals = sizes.agg(F.max("n"), F.sum("n")).first()
-    bands = Bands(num, den, totals[0] or 1)
+    total = sizes.agg(F.sum("n")).first()[0] or 0
     # One row per size band: about 80 for documents of a million words.
     lows = F.array(*map(F.lit, bands.low))
     population = {r["band"]: r["count"] for r in sizes.groupBy((F.size(F.filter(lows, lambda x: x <= F.col("n"))) - 1).alias("band")).count().collect()}
@@ -250,28 +326,33 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         people = population.get(g, 0) + population.get(g - 1, 0)
         if population.get(g, 0) and people > 1 and bands.differ(g):
             plan[g] = allocate(bands.differ(g), bands.low[g], people)
-    mb = (totals[1] or 0) * 17e-6 * 0.5
+    mb = total * 20e-6 * 0.4
     buckets = partitions(spark, mb)
     packed = docs.mapInArrow(partial(_segments, k=k, bands=bands, plan=plan, buckets=buckets), "bucket int, packed binary")
-    shared = spill(packed.repartition(buckets, "bucket").mapInArrow(_shared, "sig long, node long, members long, centre long"))
+    shared = spill(packed.repartition(buckets, "bucket").mapInArrow(_shared, "sig long, node long, band int, need int, members long, centre long"))
 
-    named = shared.groupBy("node").agg(F.max(F.struct("members", "centre")).alias("m")).select("node", F.col("m.centre").alias("label"))
+    # A node goes with the first node of its largest signature group, and with what that one goes with.
+    named = spill(shared.groupBy("node").agg(F.max(F.struct("members", "centre")).alias("m")).select("node", F.col("m.centre").alias("label")))
+    named = named.join(named.toDF("label", "further"), "label").select("node", F.col("further").alias("label"))
     labels = named.groupBy("label").count()
     blocks = spill(named.join(labels, "label").select("node", F.xxhash64("label", F.expr(f"pmod(xxhash64(node), cast(ceil(count / {BLOCK}.0) as int))")).alias("block")))
-    held = spill(shared.join(blocks, "node").groupBy("sig", "block").agg(F.count("node").alias("n")))
-    left, right = held.toDF("sig", "bi", "ni"), held.toDF("sig", "bj", "nj")
-    pairs = left.join(right, "sig").filter("bi < bj or (bi = bj and ni > 1)").select("bi", "bj").distinct()
-
-    side = lambda i: F.struct("bi", "bj", F.lit(i).alias("side"))
-    ends = pairs.select(F.explode(F.when(F.col("bi") == F.col("bj"), F.array(side(0))).otherwise(F.array(side(0), side(1)))).alias("ask"))
-    asks = ends.withColumn("block", F.when(F.col("ask.side") == 0, F.col("ask.bi")).otherwise(F.col("ask.bj"))).groupBy("block").agg(F.collect_list("ask").alias("asks"))
+    held = spill(shared.join(blocks, "node").select("sig", "node", "block", "band", "need"))
+    others = held.groupBy("sig", "block").agg(F.count("node").alias("n")).select("sig", F.col("block").alias("other"), "n")
+    met = held.join(others, "sig").filter("block <> other or n > 1").groupBy("node", "block", "other", "band").agg(F.count("*").alias("n"), F.max("need").alias("need"))
+    bi, bj = F.least("block", "other"), F.greatest("block", "other")
+    asks = met.filter("n >= need").select("node", "band", bi.alias("bi"), bj.alias("bj"), F.when(F.col("block") == bi, 0).otherwise(1).alias("side"))
+    sketched = classes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("own"), F.first("next_sketch").alias("next"))
+    of = F.size(F.filter(lows, lambda x: x <= F.col("n_shingles"))) - 1
+    asks = asks.join(sketched, "node").select("bi", "bj", "band", "side", "node", "n_shingles", F.when(F.col("band") == of, F.col("own")).otherwise(F.col("next")).alias("sketch"))
+    asks = asks.repartition("bi", "bj", "band").sortWithinPartitions("bi", "bj", "band", "side", "node").mapInArrow(partial(_near, bands=bands), "node long, bi long, bj long, side int").distinct()
+    asks = asks.groupBy("node").agg(F.collect_list(F.struct("bi", "bj", "side")).alias("asks"))
     # What each candidate is asked for is settled before its text moves, so that texts and sets move once.
-    asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(blocks, "node").join(asks, "block").select("doc_id", "node", "asks")
+    asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(asks, "node")
     rows = docs.join(asked, "doc_id").select("text", "node", "asks").mapInArrow(partial(_set_rows, k=k), "bi long, bj long, side int, node long, tokens binary")
     links = rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "side").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
 
     label = components(links)
-    tagged = classes.join(label, "node", "left").withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
+    tagged = classes.select("doc_id", "n_shingles", "node").join(label, "node", "left").withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
     least = tagged.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
     return tagged.join(least, "part", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
