@@ -74,7 +74,7 @@ def funnel(rows: DataFrame) -> DataFrame:
 
 def repair_transposed(ts: Column, wrong: Column) -> Column:
     """Day and month swapped back where `wrong` says so and the day can be a month."""
-    swapped = F.make_timestamp_ntz(F.year(ts), F.dayofmonth(ts), F.month(ts), F.hour(ts), F.minute(ts), F.second(ts).cast("decimal(16,6)"))
+    swapped = F.make_timestamp_ntz(F.year(ts), F.dayofmonth(ts), F.month(ts), F.hour(ts), F.minute(ts), F.date_part(F.lit("SECOND"), ts).cast("decimal(16,6)"))
     return F.when(wrong & (F.dayofmonth(ts) <= 12), swapped).otherwise(ts)
 
 
