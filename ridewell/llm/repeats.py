@@ -223,8 +223,8 @@ def _fetch(parts: int, key, texts: pa.Table, asked: pa.Table) -> pa.Table:
     text = np.array(found, object)
     rows = []
     bucket = (mix(anchor.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-    for b, (d, s, n, t) in by_bucket(bucket, parts, doc, start, length, text):
-        rows.append((b, _TEXTS, _pack(d, s, n) + b"".join(t)))
+    for b, (d, s, n, h, t) in by_bucket(bucket, parts, doc, start, length, anchor, text):
+        rows.append((b, _TEXTS, _pack(d, s, n, h) + b"".join(t)))
     return pa.Table.from_batches([_rows(rows)])
 
 
@@ -331,20 +331,35 @@ def repeated(strings: list[bytes], doc: np.ndarray, width: int) -> tuple[np.ndar
     return string[found], sizes[string[found]] - suffix[found]
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], width: int, parts: int) -> Iterator[pa.RecordBatch]:
-    strings, docs, starts = [], [], []
+def _resolve(batches: Iterator[pa.RecordBatch], width: int, parts: int, least: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows that repeat among a part's strings.
+
+    Strings of different anchors have no window in common, so the collection of whole anchors from
+    `least` strings on is sorted by itself, while its columns still fit a processor's cache.
+    """
+    strings, docs, starts, anchors = [], [], [], []
     for batch in batches:
         for packed in batch["packed"].to_pylist():
-            d, s, n = _unpack(packed, "<i8", "<u4", "u1")
-            edge = 4 + 13 * len(d) + np.cumsum(n, dtype=np.int64)
+            d, s, n, h = _unpack(packed, "<i8", "<u4", "u1", "<u4")
+            edge = 4 + 17 * len(d) + np.cumsum(n, dtype=np.int64)
             strings += [packed[b - m : b] for b, m in zip(edge.tolist(), n.tolist(), strict=True)]
             docs.append(d)
             starts.append(s)
-    if strings:
-        doc, start = np.concatenate(docs), np.concatenate(starts).astype(np.int64)
-        string, offset = repeated(strings, doc, width)
-        at = start[string] + offset
-        yield _rows(_span_rows(doc[string], at, at + width, parts))
+            anchors.append(h)
+    if not strings:
+        return
+    doc, start, anchor = np.concatenate(docs), np.concatenate(starts).astype(np.int64), np.concatenate(anchors)
+    order = np.argsort(anchor, kind="stable")
+    edges = np.flatnonzero(np.diff(anchor[order].astype(np.int64), prepend=-1, append=-1))
+    a = 0
+    while a < len(order):
+        b = int(edges[min(np.searchsorted(edges, a + least), len(edges) - 1)])
+        mine = order[a:b]
+        string, offset = repeated([strings[i] for i in mine.tolist()], doc[mine], width)
+        owner = doc[mine][string]
+        at = start[mine][string] + offset
+        yield _rows(_span_rows(owner, at, at + width, parts))
+        a = b
 
 
 def _cut(key, texts: pa.Table, spans: pa.Table) -> pa.Table:
