@@ -78,7 +78,11 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
     """Slices of a batch of about `most` bytes of text; a longer text is a slice by itself."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
     part = (np.cumsum(sizes) - sizes) // most
-    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    edge = np.diff(part, prepend=-1) != 0
+    long = sizes > most
+    edge |= long
+    edge[1:] |= long[:-1]
+    edges = np.flatnonzero(edge)
     for a, b in zip(edges, [*edges[1:], len(sizes)], strict=True):
         yield batch.slice(int(a), int(b - a))
 

@@ -93,6 +93,20 @@ def test_repeats_equal_brute_force(spark, documents):
     assert got == want and any(w[1] for w in want.values())
 
 
+def test_repeats_of_a_long_text_behind_short_ones(spark):
+    rng = np.random.default_rng(5)
+    prose = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    block, shared = prose(6007), [prose(90) for _ in range(3)]
+    long = bytearray((block * 1500)[:9_000_000].encode())
+    for at, s in zip((1000, (1 << 23) - 60, 8_900_000), shared, strict=True):
+        long[at : at + 90] = s.encode()
+    texts = {1: prose(80) + shared[0] + prose(9), 2: prose(100), 3: long.decode(), 4: prose(70) + shared[1] + prose(30), 5: shared[2] + prose(3000)}
+    made = repeats.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in made.collect()}
+    want = repeats.brute_force(texts, 50)
+    assert got == want and [want[d][1] for d in texts] == [0, 0, 90, 90, 90]
+
+
 def test_transform_sorts_all_suffixes():
     strings = [b"banana", b"ananas", b"", b"nab"]
     _, common, string, suffix = repeats.transform(strings)
