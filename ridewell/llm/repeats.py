@@ -17,15 +17,17 @@ from .common import bucketed, by_bucket, mix, partitions, pieces, prefix_sums, s
 #: Bytes of an anchor, by which windows of a repeat find each other.
 ANCHOR = 20
 _PLACE = np.uint64(23)
+_NONE = np.zeros(0, np.uint64)
 
 
-def regions(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+def regions(data: np.ndarray, offsets: np.ndarray, width: int, crowded: np.ndarray) -> tuple[np.ndarray, ...]:
     """Anchor hash, region hash, row, start in the row and length of every region.
 
     The anchor of a window of `width` bytes is its ANCHOR-byte string of least hash, the first of
     equals. Windows that follow each other with one anchor are a region; each window is in exactly
     one. Equal windows have equal anchors at equal places, so they meet under the anchor's hash, and
-    regions with equal bytes are alike in all their windows.
+    regions with equal bytes are alike in all their windows. Under the anchors of `crowded` (sorted
+    hashes) each window is a region by itself, with its own hash in place of the anchor's.
     """
     n, span = len(data), width - ANCHOR + 1
     if n < width:
@@ -51,7 +53,16 @@ def regions(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
     first, count = first[keep], count[keep]
     length = count + width - 1
     content = mix(stretch(sums, first, first + length) + (anchor[first] - first).astype(np.uint64))
-    return hashes[anchor[first]], content, row[first], first - offsets[row[first]], length
+    key = hashes[anchor[first]]
+    if len(crowded):
+        split = crowded[np.minimum(np.searchsorted(crowded, key), len(crowded) - 1)] == key
+        many = np.where(split, count, 1)
+        of = np.repeat(np.arange(len(first)), many)
+        first = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+        split, key, content, length = split[of], key[of], content[of], length[of]
+        key[split] = content[split] = stretch(sums, first[split], first[split] + width)
+        length[split] = width
+    return key, content, row[first], first - offsets[row[first]], length
 
 
 def place_of(doc: np.ndarray, parts: int) -> np.ndarray:
@@ -119,7 +130,46 @@ def _leaders(content: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, doc == doc[first][np.cumsum(first) - 1]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], width: int, parts: int, flush: int = 1_200_000) -> Iterator[pa.RecordBatch]:
+def _regions(batches: Iterator[pa.RecordBatch], width: int, crowded: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Anchor hash, region hash, document, start and length of the regions of a slice of texts at a time."""
+    for batch in batches:
+        for part in pieces(batch, "text", 1 << 20):
+            ids = np.asarray(part["doc_id"].cast(pa.int64()))
+            data, offsets = utf8(part["text"])
+            most = 1 << int(_PLACE)
+            if len(data) < most:
+                h, c, r, s, n = regions(data, offsets, width, crowded)
+                yield h, c, ids[r], s, n
+            else:  # one long text, in slices that overlap by what a window needs
+                for a in range(0, len(data), most - width):
+                    cut = data[a : a + most - 1]
+                    h, c, r, s, n = regions(cut, np.array([0, len(cut)]), width, crowded)
+                    yield h, c, ids[r], s + a, n
+
+
+def _crowds(batches: Iterator[pa.RecordBatch], width: int, least: int, flush: int = 1_200_000) -> Iterator[pa.RecordBatch]:
+    """Anchors with `least` different regions or more in a stretch of a task's texts, and how many.
+
+    What stays untold is less than `least` of each `flush` regions, far less than a part's share.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def counted() -> pa.RecordBatch:
+        anchor, content = map(np.concatenate, zip(*held, strict=True))
+        held.clear()
+        anchor, n = np.unique(anchor[np.unique(content, return_index=True)[1]], return_counts=True)
+        many = n >= least
+        return pa.RecordBatch.from_arrays([pa.array(anchor[many].view(np.int64)), pa.array(n[many], pa.int64())], ["anchor", "n"])
+
+    for h, c, *_ in _regions(batches, width, _NONE):
+        held.append((h, c))
+        if sum(len(x[0]) for x in held) > flush:
+            yield counted()
+    if held:
+        yield counted()
+
+
+def _anchors(batches: Iterator[pa.RecordBatch], width: int, parts: int, crowded: np.ndarray, flush: int = 1_200_000) -> Iterator[pa.RecordBatch]:
     """Regions of the texts by anchor. Of equal regions in a task only those of the smallest document go on.
 
     The others lie in a larger document than an equal region does, so all their bytes go.
@@ -141,27 +191,19 @@ def _anchors(batches: Iterator[pa.RecordBatch], width: int, parts: int, flush: i
             rows.append((b, _LEADERS, _pack(d[at], np.diff(at, append=len(d)).astype(np.uint32)) + _pack(h.astype(np.uint32), c, s.astype(np.uint32), n.astype(np.uint8))))
         return _rows(rows)
 
-    for batch in batches:
-        for part in pieces(batch, "text", 1 << 20):
-            ids = np.asarray(part["doc_id"].cast(pa.int64()))
-            data, offsets = utf8(part["text"])
-            most = 1 << int(_PLACE)
-            if len(data) < most:
-                h, c, r, s, n = regions(data, offsets, width)
-                held.append((h, c, ids[r], s, n))
-            else:  # one long text, in slices that overlap by what a window needs
-                for a in range(0, len(data), most - width):
-                    cut = data[a : a + most - 1]
-                    h, c, r, s, n = regions(cut, np.array([0, len(cut)]), width)
-                    held.append((h, c, ids[r], s + a, n))
-            if sum(len(x[0]) for x in held) > flush:
-                yield sent()
+    for made in _regions(batches, width, crowded):
+        held.append(made)
+        if sum(len(x[0]) for x in held) > flush:
+            yield sent()
     if held:
         yield sent()
 
 
 def _meet(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Equal regions again give spans; unequal ones under one anchor ask for their texts."""
+    """Equal regions again give spans; unequal ones under one anchor ask for their texts.
+
+    Windows of crowded anchors, known by their key, all ask: a task has sent those of one document.
+    """
     blobs: list[bytes] = []
     for batch in batches:
         for part, kind, packed in zip(*(batch[c].to_pylist() for c in ("part", "kind", "packed")), strict=True):
@@ -181,6 +223,7 @@ def _meet(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
     anchor, content, start, length = (np.concatenate([c[i] for c in columns]) for i in range(4))
     columns.clear()
     order, leads = _leaders(content, doc)
+    leads |= anchor[order] == content[order].astype(np.uint32)
     tail, lead = order[~leads], order[leads]
     start = start.astype(np.int64)
     rows = _span_rows(doc[tail], start[tail], start[tail] + length[tail], parts)
@@ -380,7 +423,7 @@ def _cut(key, texts: pa.Table, spans: pa.Table) -> pa.Table:
     return pa.table({k: pa.array([r[i] for r in out], pa.binary() if k == "kept" else pa.int64()) for i, k in enumerate(names)})
 
 
-def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 50, crowd: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept, the bytes that are left, of every row of docs (doc_id, text).
 
     A byte goes if a string of `width` bytes over it also starts in a document with a smaller
@@ -391,7 +434,10 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     Windows are grouped in regions under anchors, see regions(). Equal regions, the bulk of any copy,
     collapse to the one of the smallest document, in the task and then under the anchor, so that a
     text with very many copies never gathers anywhere. The different regions under one anchor,
-    of `width` to 2 * width bytes, are the collection whose suffixes transform() sorts.
+    of `width` to 2 * width bytes, are the collection whose suffixes transform() sorts. Anchors of
+    more than `crowd` different regions, as over the borders of a common passage, are counted first:
+    their windows meet one by one, those of the smallest document in each task, so that such a
+    collection grows with the tasks and not with the documents.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -399,7 +445,10 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     mb = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 1e6
     parts = partitions(spark, mb)
     texts = bucketed(named.withColumn("part", place_column(parts)), "part", parts)
-    met = named.mapInArrow(partial(_anchors, width=width, parts=parts), _FORM).repartition(parts, "part").mapInArrow(partial(_meet, parts=parts), _FORM)
+    crowds = named.mapInArrow(partial(_crowds, width=width, least=max(1, crowd // 512)), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    # At most 8 bytes for `crowd` regions of the input.
+    crowded = np.sort(crowds.filter(F.col("n") > crowd).select("anchor").toArrow()["anchor"].to_numpy().astype(np.int64).view(np.uint64))
+    met = named.mapInArrow(partial(_anchors, width=width, parts=parts, crowded=crowded), _FORM).repartition(parts, "part").mapInArrow(partial(_meet, parts=parts), _FORM)
     met = spill(met)
     asked = met.filter(F.col("kind") == _ASKED)
     fetched = texts.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(lambda k, a, b: _fetch(parts, k, a, b), _FORM)

@@ -11,6 +11,7 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,24 @@ def test_repeats_of_a_long_text_behind_short_ones(spark):
     assert got == want and [want[d][1] for d in texts] == [0, 0, 90, 90, 90]
 
 
+def test_repeats_under_a_crowded_anchor(spark):
+    rng = np.random.default_rng(6)
+    prose = lambda n: "".join(map(chr, rng.integers(97, 101, n)))
+    passage = prose(70)
+    texts = {d: prose(50) + passage + prose(50) for d in rng.permutation(6000).tolist()}
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": d, "text": t} for d, t in list(texts.items())[a : a + 1000]]) for a in range(0, 6000, 1000)]
+    crowds = pa.Table.from_batches(repeats._crowds(iter(batches), 50, 8))
+    crowded = np.sort(crowds["anchor"].to_numpy()[crowds["n"].to_numpy() > 1000].view(np.uint64))
+    sent = [b for batch in batches for b in repeats._anchors(iter([batch]), 50, 1, crowded)]
+    asked = [r["packed"] for b in repeats._meet(iter(sent), 1) for r in b.to_pylist() if r["kind"] == repeats._ASKED]
+    anchor = repeats._gather(asked, "<i8", "<u4", "u1", "<u4")[3]
+    assert len(crowded) and 1 < np.unique(anchor, return_counts=True)[1].max() < 1000
+    want = repeats.brute_force(texts, 50)
+    for crowd in (1000, 4096, 10000):
+        made = repeats.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), crowd=crowd).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in made} == want
+
+
 def test_transform_sorts_all_suffixes():
     strings = [b"banana", b"ananas", b"", b"nab"]
     _, common, string, suffix = repeats.transform(strings)
