@@ -74,6 +74,11 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.Record
             yield part, edges, hashes, nodes
 
 
+def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for part, _, _, nodes in _sets(batches, k):
+        yield pa.RecordBatch.from_arrays([part["text"], pa.array(nodes)], ["text", "node"])
+
+
 def _classes(batches: Iterator[pa.RecordBatch], k: int, bands: Bands) -> Iterator[pa.RecordBatch]:
     """doc_id, size and node of each set, and how its tokens fall into the cells of its two groups."""
     for part, edges, hashes, nodes in _sets(batches, k):
@@ -348,7 +353,13 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     asks = asks.groupBy("node").agg(F.collect_list(F.struct("bi", "bj", "side")).alias("asks"))
     # What each candidate is asked for is settled before its text moves, so that texts and sets move once.
     asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(asks, "node")
-    rows = docs.join(asked, "doc_id").select("text", "node", "asks").mapInArrow(partial(_set_rows, k=k), "bi long, bj long, side int, node long, tokens binary")
+    nameless = not classes.filter("doc_id is null and n_shingles > 0").isEmpty()
+    asked = spill(asked) if nameless else asked
+    texts = docs.join(asked, "doc_id").select("text", "node", "asks")
+    if nameless:  # sets that only rows without an id hold
+        own = docs.filter("doc_id is null").select("text").mapInArrow(partial(_nodes, k=k), "text string, node long").dropDuplicates(["node"])
+        texts = texts.unionByName(own.join(asked.filter("doc_id is null").drop("doc_id"), "node").select("text", "node", "asks"))
+    rows = texts.mapInArrow(partial(_set_rows, k=k), "bi long, bj long, side int, node long, tokens binary")
     links = rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "side").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
 
     label = components(links)

@@ -246,6 +246,15 @@ def test_jaccard_classes_equal_brute_force(spark, documents):
     assert got == part and len(set(part.values())) < len(part)
 
 
+def test_jaccard_links_through_a_text_without_id(spark):
+    w = [f"w{i}" for i in range(130)]
+    rows = [(1, " ".join(w[:100])), (None, " ".join(w[8:108])), (None, " ".join(w[8:108])), (2, " ".join(w[16:116])), (3, "apart from these")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id) for r in ngram_join.ngram_components(docs).collect())
+    assert got == [(0, 1), (0, 1), (1, 1), (2, 1), (3, 3)]
+    assert sorted(r.doc_id or 0 for r in ngram_join.keep_one(docs).collect()) == [0, 0, 1, 3]
+
+
 def test_quality_bounds_are_exact(spark):
     from math import comb
 
