@@ -263,6 +263,18 @@ def test_quality_bounds_are_exact(spark):
         assert abs(r.p - sum(comb(r.n, i) * 0.01**i * 0.99 ** (r.n - i) for i in range(r.k + 1))) < 1e-9
 
 
+@pytest.mark.parametrize(("good", "kept"), [(1442, True), (1443, False)])
+def test_quality_cutoffs_need_labels(spark, good, kept):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(good)] + [(-1, " ".join(f"#{j}" for j in range(60)))]
+    docs, labels = pd.DataFrame(rows, columns=["doc_id", "text"]), pd.DataFrame({"doc_id": range(good), "quality": 1})
+    made = {r.doc_id: r.kept for r in quality_rules.judge(spark.createDataFrame(docs), spark.createDataFrame(labels)).collect()}
+    con = duckdb.connect()
+    con.register("documents", docs)
+    con.register("labels", labels)
+    told = {r[0]: r[-1] for r in con.sql(quality_rules.OP1_SQL).fetchall()}
+    assert made == told and made[-1] is kept and all(made[i] for i in range(good))
+
+
 def test_chat_placeholders(spark):
     rows = [(1, 0, "user", [("text", "see <turn x>\\", None, None), ("image", None, "a.png", None), ("audio", None, "b.wav", 7)]), (1, 1, "assistant", [("text", "ok </turn>", None, None)]), (2, 0, None, None)]
     made = {r.conv_id: r for r in chat.format_conversations(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")).withColumn("said", chat.read_loss(F.col("turn_texts"), F.col("loss"))).collect()}
