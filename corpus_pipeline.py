@@ -54,7 +54,7 @@ STAGES = [
     ("source_mixing", source_weights),
     ("sentencepiece", sentencepiece),
 ]
-#: SQL can express neither the learnt languages nor the segmentation; tests hold the stages against brute force.
+#: SQL can express neither the learnt languages nor the segmentation; tests check invariants of the stages, not brute force.
 ORACLE_SQL = None
 
 
