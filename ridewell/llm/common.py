@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -46,10 +49,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def spill(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The written table stands for df from here on, so shuffle files of the write are let go at its end.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
@@ -150,6 +161,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     data = _LOWER[data]
     starts, ends, row = words(data, offsets)
     hashes = stretch(prefix_sums(data), starts, ends)
+    # Sums of powers of one base modulo 2**64 are equal for some unlike stretches of 1024 bytes and more.
+    for i in np.flatnonzero(ends - starts > 200):
+        hashes[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     count = np.bincount(row, minlength=len(offsets) - 1)
     start_of = np.cumsum(count) - count
     with np.errstate(over="ignore"):

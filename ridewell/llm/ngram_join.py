@@ -80,7 +80,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def _classes(batches: Iterator[pa.RecordBatch], k: int, bands: Bands) -> Iterator[pa.RecordBatch]:
-    """doc_id, size and node of each set, and how its tokens fall into the cells of its two groups."""
+    """doc_id, text hash, size and node of each set, and how its tokens fall into the cells of its two groups."""
     for part, edges, hashes, nodes in _sets(batches, k):
         sketches: tuple[list[bytes], list[bytes]] = ([], [])
         for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -89,8 +89,8 @@ def _classes(batches: Iterator[pa.RecordBatch], k: int, bands: Bands) -> Iterato
             for i in (0, 1):
                 cells = max(8, bands.low[band + i] // 3)
                 sketches[i].append(np.minimum(np.bincount((spread % np.uint64(cells)).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes())
-        columns = [part["doc_id"].cast(pa.int64()), pa.array(np.diff(edges)), pa.array(nodes), *(pa.array(x, pa.binary()) for x in sketches)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "sketch", "next_sketch"])
+        columns = [part["doc_id"].cast(pa.int64()), part["same"], pa.array(np.diff(edges)), pa.array(nodes), *(pa.array(x, pa.binary()) for x in sketches)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n_shingles", "node", "sketch", "next_sketch"])
 
 
 def _near(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.RecordBatch]:
@@ -130,16 +130,22 @@ def _asks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["node", "bi", "bj", "side"])
 
 
-def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int, int]], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed (signature, node, kind, need) rows by bucket; an odd kind lacks one token, kind // 2 is the group."""
+def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int, int]], buckets: int, recent: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Signatures by bucket, packed: heads (node, kind, need, count) and four bytes of each of their signatures.
+
+    An odd kind lacks one token, kind // 2 is the group. A node that a task has met among its last
+    `recent` ones sends nothing again, so that many copies of a text weigh little.
+    """
     golden = np.uint64(0x9E3779B97F4A7C15)
+    seen: set[int] = set()
     for _, edges, hashes, nodes in _sets(batches, k):
-        sigs, owners, kinds, needs = [], [], [], []
-        seen: set[int] = set()
-        for a, b, node in zip(edges[:-1], edges[1:], nodes, strict=True):
-            if a == b or int(node) in seen:
+        sigs, heads = [], []
+        for a, b, node in zip(edges[:-1], edges[1:], nodes.tolist(), strict=True):
+            if a == b or node in seen:
                 continue
-            seen.add(int(node))
+            if len(seen) >= recent:
+                seen.clear()
+            seen.add(node)
             mine = hashes[a:b]
             band = bands.of(b - a)
             for g in (band, band + 1):
@@ -170,41 +176,95 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
                     parts.append(mix(totals[seg[dropped]] - tok[dropped] + salt[seg[dropped]]))
                 for kind, x in enumerate(parts):
                     sigs.append(x)
-                    owners.append(np.full(len(x), node))
-                    kinds.append(np.full(len(x), 2 * g + kind, np.uint16))
-                    needs.append(np.full(len(x), min(need, 65535), np.uint16))
+                    heads.append((node, 2 * g + kind, min(need, 255), len(x)))
         if sigs:
-            sig, owner, kind, need = map(np.concatenate, (sigs, owners, kinds, needs))
+            sig, names, counts = np.concatenate(sigs), np.array([h[:3] for h in heads], np.int64), [h[3] for h in heads]
+            head = np.repeat(np.arange(len(heads)), counts)
             bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            rows = [(x, b"".join(c.tobytes() for c in columns)) for x, columns in by_bucket(bucket, buckets, sig, owner, kind, need)]
+            rows = []
+            for x, (own_head, own_sig) in by_bucket(bucket, buckets, head, sig.astype(np.uint32)):
+                which, n = np.unique(own_head, return_counts=True)  # by_bucket keeps the order, so heads ascend
+                node, kind, need = names[which].T
+                rows.append((x, b"".join((np.uint32(len(which)).tobytes(), node.tobytes(), kind.astype(np.uint16).tobytes(), need.astype(np.uint8).tobytes(), n.astype(np.uint32).tobytes(), own_sig.tobytes()))))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of the signatures that two nodes or more share."""
-    parts: list[tuple[np.ndarray, ...]] = []
+def _unpacked(bucket: int, x: bytes) -> tuple[np.ndarray, ...]:
+    """Signature, node, kind and need of each packed signature; only those of a group can be equal."""
+    h = int(np.frombuffer(x, np.uint32, 1)[0])
+    node, kind = np.frombuffer(x, np.int64, h, 4), np.frombuffer(x, np.uint16, h, 4 + 8 * h)
+    need, n = np.frombuffer(x, np.uint8, h, 4 + 10 * h), np.frombuffer(x, np.uint32, h, 4 + 11 * h)
+    low = np.frombuffer(x, np.uint32, -1, 4 + 15 * h).astype(np.uint64)
+    kind = np.repeat(kind, n)
+    sig = mix((low | (kind // 2).astype(np.uint64) << np.uint64(32)) + mix(np.array([bucket + 1], np.uint64))[0])
+    return sig, np.repeat(node, n), kind, np.repeat(need, n)
+
+
+def _shared(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+    """Members of the signatures that two nodes or more share, each with the signature's centre, a first node.
+
+    Signatures are merged `most` at a time into those met before, of which one node is held, so that
+    memory grows with the signatures of a bucket, not with the members of one. A member may come
+    once for each merge. `whole`: its signature lacks no token; `pair`: neither both its and the
+    centre's lack one.
+    """
+    held = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.uint8), np.zeros(0, bool))
+
+    def rows(sig, node, kind, need, centre, pair) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(sig), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            columns = (sig[part].view(np.int64), node[part], (kind[part] // 2).astype(np.int32), need[part].astype(np.int32), centre[part], kind[part] % 2 == 0, pair[part])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "band", "need", "centre", "whole", "pair"])
+
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        nonlocal held
+        sig, node, kind, need = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((kind, node, sig))
+        sig, node, kind, need = sig[order], node[order], kind[order], need[order]
+        keep = np.ones(len(sig), bool)
+        keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+        sig, node, kind, need = sig[keep], node[keep], kind[keep], need[keep]
+        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        size = np.diff(start, append=len(sig))
+        hsig, hnode, hkind, hneed, told = held
+        at = np.searchsorted(hsig, sig[start])
+        old = np.zeros(len(start), bool)
+        if len(hsig):
+            old = hsig[np.minimum(at, len(hsig) - 1)] == sig[start]
+        at = np.where(old, at, 0)
+        centre, lead = node[start].copy(), kind[start].copy()
+        if old.any():
+            centre[old], lead[old] = hnode[at[old]], hkind[at[old]]
+        group = np.repeat(np.arange(len(start)), size)
+        other = node != centre[group]
+        pair = (kind % 2 == 0) | (lead[group] % 2 == 0)
+        yield from rows(sig[other], node[other], kind[other], need[other], centre[group][other], pair[other])
+        met = np.bincount(group[other], minlength=len(start)) > 0
+        # The centre's own row, once.
+        first = met & ~old
+        yield from rows(sig[start][first], node[start][first], kind[start][first], need[start][first], centre[first], np.ones(int(first.sum()), bool))
+        late = np.flatnonzero(met & old)
+        late = late[~told[at[late]]]
+        yield from rows(sig[start][late], centre[late], lead[late], hneed[at[late]], centre[late], np.ones(len(late), bool))
+        told[at[late]] = True
+        new = ~old
+        fresh = (sig[start][new], node[start][new], kind[start][new], need[start][new], met[new])
+        if len(hsig):
+            order = np.argsort(np.concatenate([hsig, fresh[0]]), kind="stable")
+            held = tuple(np.concatenate([x, y])[order] for x, y in zip((hsig, hnode, hkind, hneed, told), fresh, strict=True))
+        else:
+            held = fresh
+
+    parts, n = [], 0
     for batch in batches:
-        for x in batch["packed"].to_pylist():
-            n = len(x) // 20
-            parts.append((np.frombuffer(x, np.uint64, n), np.frombuffer(x, np.int64, n, 8 * n), np.frombuffer(x, np.uint16, n, 16 * n), np.frombuffer(x, np.uint16, n, 18 * n)))
-    if not parts:
-        return
-    sig, node, kind, need = (np.concatenate(x) for x in zip(*parts, strict=True))
-    parts.clear()
-    order = np.lexsort((kind, node, sig))
-    sig, node, kind, need = sig[order], node[order], kind[order], need[order]
-    keep = np.ones(len(sig), bool)
-    keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-    sig, node, kind, need = sig[keep], node[keep], kind[keep], need[keep]
-    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    size = np.diff(start, append=len(sig))
-    whole = np.add.reduceat((kind % 2 == 0).astype(np.int64), start)
-    group = np.repeat(np.arange(len(start)), size)
-    pick = ((size > 1) & (whole > 0))[group]
-    centre = node[start][group]
-    for a in range(0, int(pick.sum()), 1 << 16):
-        at = np.flatnonzero(pick)[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[at].view(np.int64)), pa.array(node[at]), pa.array((kind[at] // 2).astype(np.int32)), pa.array(need[at].astype(np.int32)), pa.array(size[group[at]]), pa.array(centre[at])], ["sig", "node", "band", "need", "members", "centre"])
+        for bucket, x in zip(batch["bucket"].to_pylist(), batch["packed"].to_pylist(), strict=True):
+            parts.append(_unpacked(bucket, x))
+            n += len(parts[-1][0])
+            if n >= most:
+                yield from merged(parts)
+                parts, n = [], 0
+    if parts:
+        yield from merged(parts)
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], k: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -302,78 +362,146 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
-def ngram_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, n_shingles and component_id: documents link when their sets of k-word shingles have a Jaccard similarity of num / den or more.
+def _linked(docs: DataFrame, classes: DataFrame, asks: DataFrame, k: int, num: int, den: int, nameless: bool) -> DataFrame:
+    """Links (a, b) among the nodes asked for: asks has node, bi, bj, side and part, which bounds the asks of a row to some 1000."""
+    asks = asks.groupBy("node", "part").agg(F.collect_list(F.struct("bi", "bj", "side")).alias("asks"))
+    # What each candidate is asked for is settled before its text moves, so that texts and sets move once.
+    asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(asks, "node")
+    asked = spill(asked.drop("part"))
+    texts = docs.join(asked, "doc_id").select("text", "node", "asks")
+    if nameless:  # sets that only rows without an id hold
+        own = docs.filter("doc_id is null").select("text").mapInArrow(partial(_nodes, k=k), "text string, node long").dropDuplicates(["node"])
+        texts = texts.unionByName(own.join(asked.filter("doc_id is null").drop("doc_id"), "node").select("text", "node", "asks"))
+    rows = texts.mapInArrow(partial(_set_rows, k=k), "bi long, bj long, side int, node long, tokens binary")
+    return spill(rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "side").mapInArrow(partial(_verify, num=num, den=den), "a long, b long"))
 
-    docs needs doc_id and text; other columns are ignored, whatever their names. Words are runs of
-    anything but ASCII white space, A-Z in lower case; a text of fewer than k words is one shingle.
-    Null or wordless texts have an empty set and link with nothing. Repeated rows and copies share a
-    node; rows with a null doc_id link like others but name no component, unless all its ids are
-    null. An empty table gives an empty result. Sets are compared by 64-bit shingle hashes.
 
-    Size bands keep linked sets in one group; a group's token universe is hashed into segments
-    whose sums are signatures (see allocate()). Nodes that share a signature are put in blocks of
-    about 256 by the first node of the largest signature group they are in; for two blocks, or one, those of their
-    nodes that share a signature are verified exactly in one place, which sends on a spanning forest
-    of the links only.
+def _stars(shared: DataFrame) -> DataFrame:
+    """Asks of each node to be verified with the centre of most of its signatures, in parts of a centre's nodes."""
+    met = shared.filter("pair and node <> centre").groupBy("node", "centre", "band").agg(F.count("*").alias("n"), F.max("need").alias("need"))
+    best = met.filter("n >= need").groupBy("node").agg(F.max_by("centre", F.struct("n", "centre")).alias("bi"))
+    best = spill(best.select("node", "bi", F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("r")))
+    # Written, so that AQE may split a hot centre's nodes in the join.
+    fans = spill(best.groupBy("bi").agg(F.ceil(F.count("*") / BLOCK).alias("parts")))
+    leaves = best.join(fans, "bi").select("node", "bi", (F.col("r") % F.col("parts")).alias("bj"), F.lit(1).alias("side"), F.lit(0).cast("long").alias("part"))
+    parts = fans.withColumn("bj", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return leaves.unionByName(parts.select(F.col("bi").alias("node"), "bi", "bj", F.lit(0).alias("side"), F.floor(F.col("bj") / 1000).alias("part")))
+
+
+def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame | None:
+    """Asks of the nodes that share a signature with a node of another component so far; None where there are none.
+
+    Nodes of one component lie in blocks of their own, other nodes in blocks by the first node of a
+    signature they are in; what shares no signature beyond its component is not asked for.
     """
+    placed = shared.join(joined.select("node", F.col("label").alias("comp")), "node", "left").withColumn("part", F.coalesce("comp", "node"))
+    wide = placed.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("whole").alias("any")).filter("lo <> hi and any").select("sig")
+    rest = spill(placed.join(wide, "sig", "left_semi").select("sig", "node", "band", "need", "centre", "comp"))
+    if rest.isEmpty():
+        return None
+    named = spill(rest.groupBy("node").agg(F.first("comp").alias("comp"), F.max("centre").alias("first")))
+    further = named.select(F.col("node").alias("first"), F.col("first").alias("second"))
+    label = F.when(F.col("comp").isNull(), F.xxhash64(F.lit("alone"), F.coalesce("second", "first"))).otherwise(F.xxhash64(F.lit("comp"), "comp"))
+    named = named.join(further, "first", "left").select("node", label.alias("label"), F.col("comp").isNotNull().alias("one"))
+    counts = spill(named.groupBy("label").count())
+    named = named.join(counts, "label").select("node", "label", "one", F.xxhash64("label", F.expr(f"pmod(xxhash64(node), cast(ceil(count / {BLOCK}.0) as int))")).alias("block"))
+    held = spill(rest.select("sig", "node", "band", "need").join(named, "node"))
+    blocks = held.groupBy("sig", "label", "block").agg(F.count("node").alias("n"))
+    labels = blocks.groupBy("sig", "label").agg(F.sum("n").alias("n"))
+    alone = held.select("sig", "label", "one").distinct().join(labels, ["sig", "label"])
+    # Labels that meet under a signature; within one component nothing is left to ask.
+    duos = alone.join(labels.select("sig", F.col("label").alias("far")), "sig").filter("label <> far or (not one and n > 1)").select("sig", "label", "far")
+    others = blocks.select("sig", F.col("label").alias("far"), F.col("block").alias("other"), F.col("n").alias("m"))
+    met = held.join(duos, ["sig", "label"]).join(others, ["sig", "far"]).filter("block <> other or m > 1").groupBy("node", "block", "other", "band").agg(F.count("*").alias("n"), F.max("need").alias("need"))
+    bi, bj = F.least("block", "other"), F.greatest("block", "other")
+    asks = met.filter("n >= need").select("node", "band", bi.alias("bi"), bj.alias("bj"), F.when(F.col("block") == bi, 0).otherwise(1).alias("side"))
+    lows = F.array(*map(F.lit, bands.low))
+    sketched = classes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("own"), F.first("next_sketch").alias("next"))
+    of = F.size(F.filter(lows, lambda x: x <= F.col("n_shingles"))) - 1
+    asks = asks.join(sketched, "node").select("bi", "bj", "band", "side", "node", "n_shingles", F.when(F.col("band") == of, F.col("own")).otherwise(F.col("next")).alias("sketch"))
+    asks = spill(asks.repartition("bi", "bj", "band").sortWithinPartitions("bi", "bj", "band", "side", "node").mapInArrow(partial(_near, bands=bands), "node long, bi long, bj long, side int").distinct())
+    loads = asks.groupBy("node").agg(F.ceil(F.count("*") / 1000).alias("parts"))
+    return asks.join(loads, "node").withColumn("part", F.pmod(F.xxhash64("bi", "bj"), F.col("parts"))).drop("parts")
+
+
+def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """doc_id, text hash, size, node and the component's least (doc_id, text hash) of every row of docs (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     bands = Bands(num, den, 1 << 40)
-    classes = spill(docs.mapInArrow(partial(_classes, k=k, bands=bands), "doc_id long, n_shingles long, node long, sketch binary, next_sketch binary"))
+    hashed = docs.withColumn("same", F.xxhash64("text"))
+    classes = spill(hashed.mapInArrow(partial(_classes, k=k, bands=bands), "doc_id long, same long, n_shingles long, node long, sketch binary, next_sketch binary"))
     sizes = classes.filter("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    # One row per size band: about 80 for documents of a million words.
     lows = F.array(*map(F.lit, bands.low))
-    population = {r["band"]: r["count"] for r in sizes.groupBy((F.size(F.filter(lows, lambda x: x <= F.col("n"))) - 1).alias("band")).count().collect()}
+    # One row per size band: about 80 for documents of a million words.
+    counted = sizes.groupBy((F.size(F.filter(lows, lambda x: x <= F.col("n"))) - 1).alias("band")).agg(F.count("*").alias("nodes"), F.sum("n").alias("tokens")).collect()
+    population, total = {r["band"]: r["nodes"] for r in counted}, sum(r["tokens"] for r in counted)
     plan = {}
     for g in range(len(bands.low) - 1):
         people = population.get(g, 0) + population.get(g - 1, 0)
         if population.get(g, 0) and people > 1 and bands.differ(g):
             plan[g] = allocate(bands.differ(g), bands.low[g], people)
-    mb = total * 20e-6 * 0.4
-    buckets = partitions(spark, mb)
+    buckets = partitions(spark, total * 7e-6)
     packed = docs.mapInArrow(partial(_segments, k=k, bands=bands, plan=plan, buckets=buckets), "bucket int, packed binary")
-    shared = spill(packed.repartition(buckets, "bucket").mapInArrow(_shared, "sig long, node long, band int, need int, members long, centre long"))
-
-    # A node goes with the first node of its largest signature group, and with what that one goes with.
-    named = spill(shared.groupBy("node").agg(F.max(F.struct("members", "centre")).alias("m")).select("node", F.col("m.centre").alias("label")))
-    named = named.join(named.toDF("label", "further"), "label").select("node", F.col("further").alias("label"))
-    labels = named.groupBy("label").count()
-    blocks = spill(named.join(labels, "label").select("node", F.xxhash64("label", F.expr(f"pmod(xxhash64(node), cast(ceil(count / {BLOCK}.0) as int))")).alias("block")))
-    held = spill(shared.join(blocks, "node").select("sig", "node", "block", "band", "need"))
-    others = held.groupBy("sig", "block").agg(F.count("node").alias("n")).select("sig", F.col("block").alias("other"), "n")
-    met = held.join(others, "sig").filter("block <> other or n > 1").groupBy("node", "block", "other", "band").agg(F.count("*").alias("n"), F.max("need").alias("need"))
-    bi, bj = F.least("block", "other"), F.greatest("block", "other")
-    asks = met.filter("n >= need").select("node", "band", bi.alias("bi"), bj.alias("bj"), F.when(F.col("block") == bi, 0).otherwise(1).alias("side"))
-    sketched = classes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("own"), F.first("next_sketch").alias("next"))
-    of = F.size(F.filter(lows, lambda x: x <= F.col("n_shingles"))) - 1
-    asks = asks.join(sketched, "node").select("bi", "bj", "band", "side", "node", "n_shingles", F.when(F.col("band") == of, F.col("own")).otherwise(F.col("next")).alias("sketch"))
-    asks = asks.repartition("bi", "bj", "band").sortWithinPartitions("bi", "bj", "band", "side", "node").mapInArrow(partial(_near, bands=bands), "node long, bi long, bj long, side int").distinct()
-    asks = asks.groupBy("node").agg(F.collect_list(F.struct("bi", "bj", "side")).alias("asks"))
-    # What each candidate is asked for is settled before its text moves, so that texts and sets move once.
-    asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(asks, "node")
+    shared = spill(packed.repartition(buckets, "bucket").mapInArrow(_shared, "sig long, node long, band int, need int, centre long, whole boolean, pair boolean"))
     nameless = not classes.filter("doc_id is null and n_shingles > 0").isEmpty()
-    asked = spill(asked) if nameless else asked
-    texts = docs.join(asked, "doc_id").select("text", "node", "asks")
-    if nameless:  # sets that only rows without an id hold
-        own = docs.filter("doc_id is null").select("text").mapInArrow(partial(_nodes, k=k), "text string, node long").dropDuplicates(["node"])
-        texts = texts.unionByName(own.join(asked.filter("doc_id is null").drop("doc_id"), "node").select("text", "node", "asks"))
-    rows = texts.mapInArrow(partial(_set_rows, k=k), "bi long, bj long, side int, node long, tokens binary")
-    links = rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj", "side").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
-
+    # First each node with one centre; most copies meet there, and only what is left in different components meets further.
+    links = _linked(docs, classes, _stars(shared), k, num, den, nameless)
     label = components(links)
-    tagged = classes.select("doc_id", "n_shingles", "node").join(label, "node", "left").withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
-    least = tagged.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
-    return tagged.join(least, "part", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    asks = _apart(shared, label, classes, bands)
+    if asks is not None:
+        more = _linked(docs, classes, asks, k, num, den, nameless)
+        label = components(label.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
+
+    # Least ids by node, then by component; rows of the few nodes with over a thousandth of all rows get theirs by broadcast.
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "same"))
+    nodes = spill(classes.filter("n_shingles > 0").groupBy("node").agg(F.min(own).alias("own"), F.count("*").alias("rows")).join(label, "node", "left").withColumn("part", F.coalesce("label", "node")))
+    least = spill(nodes.groupBy("part").agg(F.min("own").alias("least")))
+    nodes = spill(nodes.join(least, "part").select("node", "rows", "least"))
+    n_rows = nodes.agg(F.sum("rows")).first()[0] or 0
+    hot = nodes.filter(F.col("rows") * 1000 > n_rows).select("node", "least")
+    narrow = classes.select("doc_id", "same", "n_shingles", "node")
+    filled = narrow.filter("n_shingles > 0")
+    # At most 1000 rows.
+    by_hot = filled.join(F.broadcast(hot), "node")
+    rest = filled.join(F.broadcast(hot.select("node")), "node", "left_anti").join(nodes.select("node", "least"), "node")
+    empty = narrow.filter("n_shingles = 0").withColumn("least", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "same")))
+    return by_hot.unionByName(rest).unionByName(empty)
+
+
+def ngram_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """doc_id, n_shingles and component_id: documents link when their sets of k-word shingles have a Jaccard similarity of num / den or more.
+
+    docs needs doc_id and text; other columns are ignored, whatever their names. Words are runs of
+    anything but ASCII white space, A-Z in lower case; a text of fewer than k words is one shingle.
+    Null or wordless texts have an empty set and link with nothing. Repeated rows and copies share a
+    node; rows with a null doc_id link like others but name no component, unless all its ids are
+    null. An empty table gives an empty result. Sets are compared by 64-bit shingle hashes.
+
+    Size bands keep linked sets in one group; a group's token universe is hashed into segments
+    whose sums are signatures (see allocate()). Each node is first verified with one node that it
+    shares signatures with. Nodes of different components that still share a signature are then put
+    in blocks of about 256; for two blocks, or one, those of their nodes that share a signature are
+    verified exactly in one place, which sends on a spanning forest of the links only.
+    """
+    return _grouped(docs, k, num, den).select("doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The rows of docs whose doc_id is its component's smallest; of repeated rows one stays, rows with a null doc_id all stay."""
-    kept = ngram_components(docs, k, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.filter("doc_id is not null")
-    kept = named.join(kept, F.col("doc_id") == F.col("kept_id")).drop("kept_id").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    """Of each component the row with the least doc_id (then text hash); rows with a null doc_id all stay.
+
+    Rows that share a doc_id but not the text are told apart, and each may stand for its own
+    component. Of rows that are equal in both one stays, the first by the other columns' JSON.
+    Empty texts are alone in their group.
+    """
+    least = _grouped(docs, k, num, den).filter("doc_id is not null and least.doc_id = doc_id and least.same <=> same")
+    kept = least.groupBy("doc_id", "same").agg(F.count("*").alias("times")).select(F.struct(F.col("doc_id").alias("i"), "same", "times").alias("kept_row"))
+    names = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+    rows = docs.select(F.struct(*names).alias("row")).filter("row.doc_id is not null")
+    found = rows.join(kept, (F.col("row.doc_id") == F.col("kept_row.i")) & F.xxhash64("row.text").eqNullSafe(F.col("kept_row.same")))
+    again = found.filter("kept_row.times > 1").groupBy("kept_row").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    kept_rows = found.filter("kept_row.times = 1").select("row").unionByName(again.select("row")).select("row.*")
+    return kept_rows.unionByName(docs.filter("doc_id is null"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
