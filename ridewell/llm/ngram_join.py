@@ -391,15 +391,15 @@ def _stars(shared: DataFrame) -> DataFrame:
 def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame | None:
     """Asks of the nodes that share a signature with a node of another component so far; None where there are none.
 
-    Nodes of one component lie in blocks of their own, other nodes in blocks by the first node of a
-    signature they are in; what shares no signature beyond its component is not asked for.
+    Nodes of one component lie in blocks of their own, other nodes in blocks by the first node of
+    the largest signature they are in; what shares no signature beyond its component is not asked for.
     """
     placed = shared.join(joined.select("node", F.col("label").alias("comp")), "node", "left").withColumn("part", F.coalesce("comp", "node"))
-    wide = placed.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("whole").alias("any")).filter("lo <> hi and any").select("sig")
-    rest = spill(placed.join(wide, "sig", "left_semi").select("sig", "node", "band", "need", "centre", "comp"))
+    wide = placed.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("whole").alias("any"), F.count("*").alias("members")).filter("lo <> hi and any").select("sig", "members")
+    rest = spill(placed.join(wide, "sig").select("sig", "node", "band", "need", "centre", "comp", "members"))
     if rest.isEmpty():
         return None
-    named = spill(rest.groupBy("node").agg(F.first("comp").alias("comp"), F.max("centre").alias("first")))
+    named = spill(rest.groupBy("node").agg(F.first("comp").alias("comp"), F.max(F.struct("members", "centre"))["centre"].alias("first")))
     further = named.select(F.col("node").alias("first"), F.col("first").alias("second"))
     label = F.when(F.col("comp").isNull(), F.xxhash64(F.lit("alone"), F.coalesce("second", "first"))).otherwise(F.xxhash64(F.lit("comp"), "comp"))
     named = named.join(further, "first", "left").select("node", label.alias("label"), F.col("comp").isNotNull().alias("one"))
