@@ -91,7 +91,9 @@ class Model:
         """Viterbi: length of the piece at each place of the best segmentation, 0 inside pieces.
 
         All words advance by a character at a time. Of equal totals the one with the longest last
-        piece stays, as in the library; totals are 32-bit as there.
+        piece stays, as in the library; totals are 32-bit as there. But the library adds up from the
+        start of the text, not of the word, so where the same pieces fit in two orders its rounding
+        may favour the other one.
         """
         words, size, most = ids.shape
         scores = scores.copy()
@@ -212,8 +214,17 @@ class Model:
         self.own.update(zip(new, own, strict=True))
         self.top.update(zip(new, best, strict=True))
         get, top = self.own.__getitem__, self.top.__getitem__
-        own = [b"".join(map(get, units)) for units in split]
-        return own, [b"".join(map(top, units)) for units in split] if self.merges else own
+        own = [self.joined(b"".join(map(get, units))) for units in split]
+        return own, [self.joined(b"".join(map(top, units))) for units in split] if self.merges else own
+
+    def joined(self, packed: bytes) -> bytes:
+        """Unknown characters that follow each other are one unknown piece, where a file has no byte pieces."""
+        if self.bytes:
+            return packed
+        ids = np.frombuffer(packed, np.int32)
+        keep = np.ones(len(ids), bool)
+        keep[1:] = (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)
+        return ids[keep].tobytes()
 
     def decode(self, ids: bytes) -> str:
         """Text of packed ids, without the dummy prefix; bytes that are no UTF-8 become U+FFFD."""
@@ -258,7 +269,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     ids are those of the library with that file: Viterbi where the file is a unigram model, merges
     where it is a BPE model. best_ids are the Viterbi segmentation with the best total of the
-    pieces' scores in either case. Characters without a piece become byte pieces. decoded comes back
+    pieces' scores in either case. Characters without a piece become byte pieces, or one unknown piece for
+    each run of them where the file has none. decoded comes back
     from ids; round_trip tells whether it is the text (a text that holds U+2581 itself reads back with
     spaces there). Null counts as empty and has no ids. Null ids, repeated rows and other columns
     change nothing.

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from .common import spill, table
 
-#: Rule name, statistic over the features (the larger, the worse) and candidate cutoffs.
+#: Rule name, statistic over the features (the larger, the worse) and its cutoff at each level, from lenient to strict.
 RULES = {
-    "symbols": ("100D * n_symbols / n_words", (10, 15, 20, 30, 40, 60, 80)),
-    "repeats": ("100D * n_repeat_words / n_words", (5, 10, 15, 20, 30, 40)),
-    "same_lines": ("100D * n_dup_lines / n_words", (1, 2, 3, 5, 8)),
-    "long_words": ("1D * word_chars / n_words", (8, 9, 10, 12, 15)),
+    "symbols": ("100D * n_symbols / n_words", (80, 60, 40, 30, 20, 15, 10, 5)),
+    "repeats": ("100D * n_repeat_words / n_words", (48, 45, 40, 35, 30, 25, 20, 15)),
+    "same_lines": ("100D * n_dup_lines / n_words", (16, 12, 8, 6, 5, 4, 3, 2)),
+    "long_words": ("1D * word_chars / n_words", (20, 16, 14, 12, 11, 10, 9, 8)),
 }
+LEVELS = 8
 #: Strata by number of words, from (inclusive).
 STRATA = (0, 200, 600)
 
@@ -57,36 +58,40 @@ def tail(k: Column, n: Column, p: float) -> Column:
     return F.aggregate(terms, start, add)["s"]
 
 
-def cutoffs(rows: DataFrame, alpha: float, delta: float) -> DataFrame:
-    """stratum and, for each rule, the smallest cutoff proven to reject at most its part of alpha of good documents.
-
-    rows are features of labelled documents with `good`. A rule may falsely reject alpha divided
-    by the number of rules. The exact binomial upper bound of a cutoff's false rejection rate lies
-    under that just when seeing so few rejections would have probability delta / tests at that rate;
-    tests counts all strata, rules and cutoffs, so all choices hold at once with probability
-    1 - delta. Null where no cutoff is proven. A cutoff without any false rejection needs
-    log(delta / tests) / log(1 - alpha / rules) good labels in its stratum: 1443 for alpha 0.02 and
-    delta 0.05. Smaller strata have no cutoff, and there the base alone decides.
-    """
-    tests = len(STRATA) * sum(len(c) for _, c in RULES.values())
-    rate, level = alpha / len(RULES), delta / tests
-    good = rows.filter("good and not base_failed")
-    counts = [F.count_if(F.expr(stat) >= c).alias(f"{rule}_{c}") for rule, (stat, cs) in RULES.items() for c in cs]
-    seen = good.groupBy("stratum").agg(F.count("*").alias("n"), *counts)
+def _rejects(level: int) -> Column:
+    """Whether any rule's statistic reaches its cutoff of the level."""
+    return F.expr(" OR ".join(f"{stat} >= {cuts[level]}" for stat, cuts in RULES.values()))
 
-    def chosen(rule: str) -> Column:
-        n = F.col("n")
-        return F.coalesce(*[F.when(F.when(F.col(f"{rule}_{c}") <= n * F.lit(rate), tail(F.col(f"{rule}_{c}"), n, rate)).otherwise(1.0) <= level, float(c)) for c in RULES[rule][1]])
 
-    return seen.select("stratum", *[chosen(r).alias(f"cut_{r}") for r in RULES])
+def cutoffs(rows: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """stratum, level and each rule's cutoff: the strictest proven to reject at most alpha of a stratum's good documents.
+
+    rows are features of labelled documents with `good`. Each stratum tests one sequence of ever
+    tighter joint cutoffs, all rules together, from lenient to strict, and stops at the first that
+    is not proven. The exact binomial upper bound of a level's false rejection rate lies under alpha
+    just when seeing so few rejections would have probability delta / strata at that rate. A fixed
+    sequence needs no further correction for its length, so all choices hold at once with probability
+    1 - delta. A level without any false rejection needs log(delta / strata) / log(1 - alpha) good
+    labels in its stratum: 203 for alpha 0.02 and delta 0.05. Strata with no proven level have null
+    cutoffs, and there the base alone decides.
+    """
+    seen = rows.filter("good and not base_failed").groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(_rejects(i)).alias(f"k_{i}") for i in range(LEVELS)])
+    n, proven, level = F.col("n"), F.lit(True), F.lit(0)
+    for i in range(LEVELS):
+        k = F.col(f"k_{i}")
+        proven = proven & (F.when(k <= n * F.lit(alpha), tail(k, n, alpha)).otherwise(1.0) <= delta / len(STRATA))
+        level = level + F.when(proven, 1).otherwise(0)
+    seen = seen.select("stratum", level.alias("level"))
+    at = lambda cuts: F.when(F.col("level") > 0, F.element_at(F.array(*[F.lit(float(c)) for c in cuts]), F.col("level")))
+    return seen.select("stratum", "level", *[at(cuts).alias(f"cut_{rule}") for rule, (_, cuts) in RULES.items()])
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """features() of docs with kept: not base_failed, and under every proven cutoff of its stratum.
 
     labels has doc_id and quality (1: good); null and other values, null ids and ids not in docs
-    take no part, a repeated label counts once. Without labels no cutoff is proven, and the base
-    decides. Repeated documents get equal verdicts; other columns are ignored.
+    take no part, a repeated label counts once; a statistic that equals its cutoff is rejected. Without
+    labels no level is proven, and the base decides. Repeated documents get equal verdicts; other columns are ignored.
     """
     rows = spill(features(docs))
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("labelled")).distinct()
@@ -97,7 +102,7 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float
     fine = ~F.col("base_failed")
     for rule, (stat, _) in RULES.items():
         fine = fine & F.coalesce(F.when(F.col("n_words") > 0, F.expr(stat)) < F.col(f"cut_{rule}"), F.lit(True))
-    return judged.withColumn("kept", fine).drop("s", *[f"cut_{r}" for r in RULES])
+    return judged.withColumn("kept", fine).drop("s", "level", *[f"cut_{r}" for r in RULES])
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
@@ -106,11 +111,11 @@ def op1(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    tests = len(STRATA) * sum(len(c) for _, c in RULES.values())
-    rate, level = 0.02 / len(RULES), 0.05 / tests
+    rate, level = 0.02, 0.05 / len(STRATA)
     stats = {r: s.replace("100D", "100::DOUBLE").replace("1D", "1::DOUBLE") for r, (s, _) in RULES.items()}
-    counts = " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, {c}::DOUBLE AS cut, count(*) AS n, count(*) FILTER (WHERE {stats[r]} >= {c}) AS k FROM g GROUP BY 1" for r, (_, cs) in RULES.items() for c in cs)
-    verdict = " AND ".join(f"coalesce({stats[r]} < (SELECT min(cut) FROM c WHERE c.stratum = b.stratum AND c.rule = '{r}'), true)" for r in RULES)
+    rows = ", ".join(f"({i}, {', '.join(f'{cuts[i]}::DOUBLE' for _, cuts in RULES.values())})" for i in range(LEVELS))
+    names = ", ".join(f"cut_{r}" for r in RULES)
+    reached = " OR ".join(f"{s} >= cut_{r}" for r, s in stats.items())
     return rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 3),
@@ -121,9 +126,11 @@ f AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))
   coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, CASE WHEN n_words >= {STRATA[2]} THEN 2 WHEN n_words >= {STRATA[1]} THEN 1 ELSE 0 END AS stratum FROM f),
 g AS (SELECT * FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-k AS ({counts}),
-c AS (SELECT stratum, rule, cut FROM k WHERE k <= n * {rate} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) <= {level})
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND (n_words = 0 OR ({verdict})) AS kept FROM b
+v(lev, {names}) AS (VALUES {rows}),
+k AS (SELECT stratum, lev, count(*) AS n, count(*) FILTER (WHERE {reached}) AS k FROM g CROSS JOIN v GROUP BY 1, 2),
+p AS (SELECT stratum, lev, k <= n * {rate} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) <= {level} AS ok FROM k),
+c AS (SELECT stratum, max(lev) AS lev FROM p WHERE ok AND NOT EXISTS (SELECT 1 FROM p q WHERE q.stratum = p.stratum AND q.lev < p.lev AND NOT q.ok) GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({reached}, false) AS kept FROM b LEFT JOIN c USING (stratum) LEFT JOIN v USING (lev)
 """
 
 

@@ -55,9 +55,11 @@ RULES: list[tuple[str, tuple[str, ...], re.Pattern, Callable[[str], bool]]] = [
     ("gitlab", ("glpat-",), re.compile(r"glpat-[A-Za-z0-9_-]{20,}"), always),
     ("slack", ("xoxb-", "xoxp-", "xoxa-", "xoxr-"), re.compile(r"xox[abpr]-[0-9A-Za-z-]{20,}"), always),
     ("stripe", ("sk_live_", "rk_live_"), re.compile(r"[sr]k_live_[0-9A-Za-z]{16,}"), always),
-    ("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"), header_ok),
+    ("jwt", ("eyj",), re.compile(r"eyJ"), header_ok),
     ("pem", ("-----begin",), re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{32,}-----END [A-Z ]{0,20}PRIVATE KEY-----"), always),
 ]
+#: A web token's first part, to its end, and what follows it; a longer first part is none.
+_HEAD, _REST, HEAD_MOST = re.compile(r"[A-Za-z0-9_-]*"), re.compile(r"\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"), 2048
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 KINDS = (*BASE, *(r[0] for r in RULES if r[0] not in BASE))
 _SHORT = {i: ord(chr(i).lower()) for i in range(65, 91)}
@@ -84,10 +86,20 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
         low = text.translate(_SHORT)
     found, over = [], [0] * len(RULES)
     hits = sorted((end - size + 1, rule) for end, (rule, size) in automaton().iter(low))
+    head_end, rest = -1, None
     for start, rule in hits:
         kind, _, pattern, ok = RULES[rule]
         if start < over[rule] or not (m := pattern.match(text, start)):
             continue
+        if kind == "jwt":
+            # All hits within one first part share its end and what follows, so either is read once.
+            if start >= head_end:
+                head_end = _HEAD.match(text, start).end()
+                rest = _REST.match(text, head_end)
+            if rest and 11 <= head_end - start <= HEAD_MOST and ok(text[start:head_end]):
+                over[rule] = rest.end()
+                found.append((kind, start, rest.end()))
+            continue
         if kind == "assign":
             over[rule] = m.end()
             if len(m[2]) < 12:
