@@ -16,6 +16,8 @@ from .common import by_bucket, components, mix, partitions, pieces, shingle_sets
 
 #: Documents of a block; two blocks are verified together.
 BLOCK = 256
+#: Segments whose signatures go together.
+STRETCH = 16
 
 
 class Bands:
@@ -40,30 +42,48 @@ class Bands:
         return (self.den - self.num) * sizes // (self.den + self.num)
 
 
-def allocate(differ: int, size: int, population: int, common: float = 0.25) -> tuple[int, int, int]:
+def allocate(differ: int, size: int, population: int, common: float = 0.25, kin: float = 0.02) -> tuple[int, int, int]:
     """Numbers of plain segments and of segments with one-deletion neighbourhoods, and `differ`, at least cost.
 
     By the pigeonhole, segments that allow 0 or 1 differing tokens suffice when plain + 2 * deletion
     exceeds `differ`. Empty segments tell nothing, and where a set has enough others it is found
-    without them, so there are a few plain segments more than that, as many as will likely be empty.
-    Cost: signatures of a set, and partners it meets for want of a token of its own in a segment, a
-    share `common` of the tokens being common ones; that falls as segments get larger, so large
-    populations get deletions.
+    without them, so there are a few plain segments more than that, as many as will likely be empty,
+    and without deletions a seventh more, so that linked sets share several.
+    Cost: signatures of a set, and partners it meets for want of a token of its own in enough
+    segments, where a share `kin` of the population has a share `common` of its tokens from the same
+    passages; that falls as segments get larger, so small sets of large populations get deletions.
     """
     best = None
     for deletion in sorted({round((differ + 1) * f / 2) for f in (0, 0.25, 0.5, 0.75, 1)}):
         plain = max(0, differ + 1 - 2 * deletion)
         void = plain * math.exp(-size / (plain + deletion))
-        plain += math.ceil(void + 3 * math.sqrt(void)) if plain else 0
+        spare = 0 if deletion else math.ceil((differ + 1) / 7)
+        plain += math.ceil(void + 3 * math.sqrt(void)) + spare if plain else 0
         m = plain + deletion
         mean = size / m
-        met = population * math.exp(-2 * mean * (1 - common)) * (plain + deletion * (1 + mean))
-        cost = plain + deletion * (1 + mean) + met
+        chance = math.exp(-2 * mean * (1 - common)) * (plain + deletion * (1 + mean))
+        # At least spare + 1 of so many chance matches, by Chernoff.
+        need = spare + 1
+        met = min(1.0, chance) if need == 1 else min(1.0, math.exp(min(0.0, need - chance - need * math.log(need / chance))) if need > chance else 1.0)
+        cost = plain + deletion * (1 + mean) + kin * population * met
         if best is None or cost < best[0]:
             best = cost, plain, deletion
     return best[1], best[2], differ
 
 
+def spread(plan: dict[int, tuple[int, int, int]], population: dict[int, int], lows: list[int], most: int = 2_000_000) -> dict[int, int]:
+    """In how many buckets the signatures of STRETCH segments of a group go, so that none has many more than `most`.
+
+    A set's signatures under one bucket share a head, so there are no more buckets than that.
+    """
+    out = {}
+    for g, (plain, deletion, _) in plan.items():
+        people = population.get(g, 0) + population.get(g - 1, 0)
+        each = min(STRETCH, plain + deletion) * (1 + (lows[g] / (plain + deletion) if deletion else 0))
+        out[g] = max(1, math.ceil(people * each / most))
+    return out
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Slices with the edges of their rows' sets, the sets' hashes and node ids."""
     for batch in batches:
@@ -130,7 +150,7 @@ def _asks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["node", "bi", "bj", "side"])
 
 
-def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int, int]], buckets: int, recent: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int, int]], subs: dict[int, int], recent: int = 100_000, flush: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Signatures by bucket, packed: heads (node, kind, need, count) and four bytes of each of their signatures.
 
     An odd kind lacks one token, kind // 2 is the group. A node that a task has met among its last
@@ -138,8 +158,24 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
     """
     golden = np.uint64(0x9E3779B97F4A7C15)
     seen: set[int] = set()
+    sigs: list[np.ndarray] = []
+    places: list[np.ndarray] = []
+    heads: list[tuple[int, int, int, int]] = []
+
+    def packed() -> pa.RecordBatch:
+        sig, place, names, counts = np.concatenate(sigs), np.concatenate(places), np.array([h[:3] for h in heads], np.int64), [h[3] for h in heads]
+        head = np.repeat(np.arange(len(heads)), counts)
+        for x in (sigs, places, heads):
+            x.clear()
+        buckets, code = np.unique(place, return_inverse=True)
+        rows = []
+        for x, (own_head, own_sig) in by_bucket(code, len(buckets), head, sig.astype(np.uint32)):
+            which, n = np.unique(own_head, return_counts=True)  # by_bucket keeps the order, so heads ascend
+            node, kind, need = names[which].T
+            rows.append((int(buckets[x]), b"".join((np.uint32(len(which)).tobytes(), node.tobytes(), kind.astype(np.uint16).tobytes(), need.astype(np.uint8).tobytes(), n.astype(np.uint32).tobytes(), own_sig.tobytes()))))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
+
     for _, edges, hashes, nodes in _sets(batches, k):
-        sigs, heads = [], []
         for a, b, node in zip(edges[:-1], edges[1:], nodes.tolist(), strict=True):
             if a == b or node in seen:
                 continue
@@ -170,23 +206,18 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
                     full[:] = True  # too few to find every partner by: its empty segments count, too
                     need = 1
                 full[plain:] = True
-                parts = [mix(totals + salt)[full]]
+                parts = [(mix(totals + salt)[full], np.flatnonzero(full))]
                 if deletion:
                     dropped = seg >= plain
-                    parts.append(mix(totals[seg[dropped]] - tok[dropped] + salt[seg[dropped]]))
-                for kind, x in enumerate(parts):
+                    parts.append((mix(totals[seg[dropped]] - tok[dropped] + salt[seg[dropped]]), seg[dropped]))
+                for kind, (x, at) in enumerate(parts):
                     sigs.append(x)
+                    places.append((mix(((x >> np.uint64(32)) % np.uint64(subs[g]) << np.uint64(40)) + (at // STRETCH).astype(np.uint64) + np.uint64(g << 24)) >> np.uint64(33)).astype(np.int64))
                     heads.append((node, 2 * g + kind, min(need, 255), len(x)))
-        if sigs:
-            sig, names, counts = np.concatenate(sigs), np.array([h[:3] for h in heads], np.int64), [h[3] for h in heads]
-            head = np.repeat(np.arange(len(heads)), counts)
-            bucket = ((sig >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            rows = []
-            for x, (own_head, own_sig) in by_bucket(bucket, buckets, head, sig.astype(np.uint32)):
-                which, n = np.unique(own_head, return_counts=True)  # by_bucket keeps the order, so heads ascend
-                node, kind, need = names[which].T
-                rows.append((x, b"".join((np.uint32(len(which)).tobytes(), node.tobytes(), kind.astype(np.uint16).tobytes(), need.astype(np.uint8).tobytes(), n.astype(np.uint32).tobytes(), own_sig.tobytes()))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
+        if sum(map(len, sigs)) > flush:
+            yield packed()
+    if sigs:
+        yield packed()
 
 
 def _unpacked(bucket: int, x: bytes) -> tuple[np.ndarray, ...]:
@@ -200,13 +231,13 @@ def _unpacked(bucket: int, x: bytes) -> tuple[np.ndarray, ...]:
     return sig, np.repeat(node, n), kind, np.repeat(need, n)
 
 
-def _shared(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+def _shared(batches: Iterator[pa.RecordBatch], most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
     """Members of the signatures that two nodes or more share, each with the signature's centre, a first node.
 
     Signatures are merged `most` at a time into those met before, of which one node is held, so that
     memory grows with the signatures of a bucket, not with the members of one. A member may come
-    once for each merge. `whole`: its signature lacks no token; `pair`: neither both its and the
-    centre's lack one.
+    once for each merge. `whole`: its signature lacks no token; `pair`: its or the centre's lacks none.
+    Where one merge is all, signatures that every member has by leaving a token out are left out.
     """
     held = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.uint8), np.zeros(0, bool))
 
@@ -216,7 +247,7 @@ def _shared(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterato
             columns = (sig[part].view(np.int64), node[part], (kind[part] // 2).astype(np.int32), need[part].astype(np.int32), centre[part], kind[part] % 2 == 0, pair[part])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "band", "need", "centre", "whole", "pair"])
 
-    def merged(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    def merged(parts: list[tuple[np.ndarray, ...]], only: bool = False) -> Iterator[pa.RecordBatch]:
         nonlocal held
         sig, node, kind, need = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((kind, node, sig))
@@ -226,6 +257,11 @@ def _shared(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterato
         sig, node, kind, need = sig[keep], node[keep], kind[keep], need[keep]
         start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         size = np.diff(start, append=len(sig))
+        if only:
+            able = (np.logical_or.reduceat(kind % 2 == 0, start) & (size > 1)) if len(start) else np.zeros(0, bool)
+            pick = np.repeat(able, size)
+            sig, node, kind, need, size = sig[pick], node[pick], kind[pick], need[pick], size[able]
+            start = np.cumsum(size) - size
         hsig, hnode, hkind, hneed, told = held
         at = np.searchsorted(hsig, sig[start])
         old = np.zeros(len(start), bool)
@@ -264,7 +300,7 @@ def _shared(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterato
                 yield from merged(parts)
                 parts, n = [], 0
     if parts:
-        yield from merged(parts)
+        yield from merged(parts, only=not len(held[0]))
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], k: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -442,8 +478,11 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         if population.get(g, 0) and people > 1 and bands.differ(g):
             plan[g] = allocate(bands.differ(g), bands.low[g], people)
     buckets = partitions(spark, total * 7e-6)
-    packed = docs.mapInArrow(partial(_segments, k=k, bands=bands, plan=plan, buckets=buckets), "bucket int, packed binary")
+    packed = docs.mapInArrow(partial(_segments, k=k, bands=bands, plan=plan, subs=spread(plan, population, bands.low)), "bucket int, packed binary")
     shared = spill(packed.repartition(buckets, "bucket").mapInArrow(_shared, "sig long, node long, band int, need int, centre long, whole boolean, pair boolean"))
+    # A linked set shares `need` signatures at least.
+    enough = shared.groupBy("node", "band").agg(F.count("*").alias("n"), F.max("need").alias("most")).filter("n >= most").select("node", "band")
+    shared = spill(shared.join(enough, ["node", "band"], "left_semi"))
     nameless = not classes.filter("doc_id is null and n_shingles > 0").isEmpty()
     # First each node with one centre; most copies meet there, and only what is left in different components meets further.
     links = _linked(docs, classes, _stars(shared), k, num, den, nameless)

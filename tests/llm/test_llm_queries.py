@@ -357,7 +357,7 @@ def test_signatures_merge_in_parts(spark):
     docs = pa.RecordBatch.from_pydict({"text": [f"one two three four five six {'seven ' * (i % 3)} tail {i % 4}" for i in range(40)]})
     bands = ngram_join.Bands(4, 5, 1 << 20)
     plan = {g: ngram_join.allocate(bands.differ(g), bands.low[g], 40) for g in range(1, 30) if bands.differ(g)}
-    packed = [x for i in range(0, 40, 5) for x in ngram_join._segments(iter([docs.slice(i, 5)]), 2, bands, plan, 3)]
+    packed = [x for i in range(0, 40, 5) for x in ngram_join._segments(iter([docs.slice(i, 5)]), 2, bands, plan, ngram_join.spread(plan, {}, bands.low))]
     at_once = {(r["sig"], r["node"]) for x in ngram_join._shared(iter(packed)) for r in x.to_pylist()}
     parted = {(r["sig"], r["node"]) for x in ngram_join._shared(iter(packed), most=1) for r in x.to_pylist()}
     assert at_once == parted and at_once
