@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import cleaning as C
 from ..operators import scenario as S
 from ..operators import trips as O
+from ..sources import landing as L
 from ..sources import sample as D
 from . import metrics as M
 
@@ -68,16 +70,40 @@ def label_usage(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return fact.filter("membership_raw is not null").join(F.broadcast(dim), ["system_id", "membership_raw"], "left").groupBy("system_id", "membership_raw", "membership_group").agg(F.count("*").alias("n"))
 
 
-def identity(trips: DataFrame) -> DataFrame:
-    none = trips.sparkSession.createDataFrame([], "era_id string, canonical_id string, via string")
-    return O.station_identity(trips, none)
+def identity(spark: SparkSession, sf: str) -> DataFrame:
+    return O.station_identity(D.fact_o(spark, sf), D.bridged(spark, sf))
 
 
 def dim_station(spark: SparkSession, sf: str) -> DataFrame:
-    trips = D.trips_o(spark, sf)
-    listed = spark.createDataFrame([], "system_id string, station_id string, station_name string, lat double, lon double")
-    live = spark.createDataFrame([], "system_id string, station_id string, name string, lat double, lon double")
-    return O.dim_station(trips, identity(trips), listed, live)
+    return O.dim_station(D.fact_o(spark, sf), identity(spark, sf), O.snapshots(D.listed(spark, sf)), D.live(spark, sf))
+
+
+def stations(spark: SparkSession, sf: str) -> DataFrame:
+    fact = D.fact_o(spark, sf)
+    return M.stations(dim_station(spark, sf), M.net_flow(canonical(spark, sf, fact)), least=20)
+
+
+def canonical(spark: SparkSession, sf: str, fact: DataFrame) -> DataFrame:
+    return O.fact_trips(fact, identity(spark, sf))
+
+
+def station_bridge(spark: SparkSession, sf: str) -> DataFrame:
+    return O.bridge(D.feed(spark, sf), D.observed(spark, sf), D.orphans(spark, sf), "br")
+
+
+def clean_typed(spark: SparkSession, sf: str) -> DataFrame:
+    return C.typed(D.raw_trips(spark, sf), D.order_of_files(spark), D.zones(spark))
+
+
+def conformed(spark: SparkSession, sf: str) -> DataFrame:
+    return C.identified(C.kept(clean_typed(spark, sf)), ("van",), {"van": "flag", "tor": "model"})
+
+
+def shared_pairs(events: DataFrame) -> DataFrame:
+    """Pairs of systems that use one bike id, and how many ids each pair shares."""
+    uses = events.select(F.col("event_type").alias("a"), F.col("user_id").alias("bike_id")).distinct()
+    other = uses.select(F.col("a").alias("b"), "bike_id")
+    return uses.join(other, "bike_id").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
 
 
 def top_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,8 +113,7 @@ def top_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def canonical_fact(spark: SparkSession, sf: str) -> DataFrame:
-    trips = D.trips_o(spark, sf)
-    return O.fact_trips(trips, identity(trips)).groupBy("system_id", "departure_station_id", "return_station_id").agg(F.count("*").alias("n"))
+    return canonical(spark, sf, D.fact_o(spark, sf)).groupBy("system_id", "departure_station_id", "return_station_id").agg(F.count("*").alias("n"))
 
 
 def resolution(trips: DataFrame) -> DataFrame:
@@ -106,10 +131,10 @@ def calendar_coverage(fact: DataFrame) -> DataFrame:
     return calendar.join(days.withColumn("_x", F.lit(1)), ["system_id", "d"], "left").groupBy("system_id").agg(F.count("*").alias("days"), F.count("_x").alias("observed"))
 
 
-def month_gaps(fact: DataFrame) -> DataFrame:
-    """Where a monthly line breaks: steps of more than one and a half times the system's smallest."""
+def month_gaps(fact: DataFrame, least: int = 25) -> DataFrame:
+    """Where the line of months with `least` trips breaks: steps of more than one and a half times the system's smallest."""
     index = F.year("trip_month").cast("long") * 12 + F.month("trip_month") - 1
-    m = M.complete(fact).filter(~F.month("trip_month").isin(4, 5)).select("system_id", index.alias("x")).distinct()
+    m = M.complete(fact).groupBy("system_id", index.alias("x")).agg(F.count("*").alias("trips")).filter(F.col("trips") >= least)
     step = m.withColumn("dx", F.col("x") - F.lag("x").over(Window.partitionBy("system_id").orderBy("x"))).filter("dx is not null")
     return step.select("system_id", "x", (F.col("dx") > 1.5 * F.min("dx").over(Window.partitionBy("system_id"))).alias("breaks"))
 
@@ -306,12 +331,23 @@ QUERIES = {
     "label_usage": _mapped(label_usage),
     "dim_membership": _mapped(O.dim_membership),
     "dim_date": _o(lambda f: O.dim_date(M.trusted(f))),
-    "dim_station": lambda spark, sf: dim_station(spark, sf).drop("lat", "lon"),
-    "canonical_identity": lambda spark, sf: identity(D.trips_o(spark, sf)),
+    "dim_station": lambda spark, sf: dim_station(spark, sf).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)}),
+    "stations": lambda spark, sf: stations(spark, sf).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)}),
+    "station_snapshots": lambda spark, sf: O.snapshots(D.listed(spark, sf)).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)}),
+    "station_bridge": station_bridge,
+    "bridge_via": lambda spark, sf: station_bridge(spark, sf).groupBy("via").agg(F.count("*").alias("entries")),
+    "canonical_identity": identity,
+    "landing_csv": lambda spark, sf: D.landed_events(spark, sf).tables["trips"].select("source_period", "trip_id", "departure_raw", "departure_station_key", "departure_station_name", "bike_id"),
+    "landing_reconciliation": lambda spark, sf: D.landed_events(spark, sf).audit.groupBy("source_period").agg(F.sum("source_records").alias("records"), F.sum("rows_landed").alias("rows_landed"), F.sum("lines_repaired").alias("lines_repaired"), F.sum("rows_too_long").alias("rows_too_long")),
+    "clean_typed": lambda spark, sf: clean_typed(spark, sf).select("trip_id", "departure_ts", "departure_station_key", "departure_station_name", "duration_s", "departure_lat", "bike_id", "electric_bike"),
+    "conformed_identity": lambda spark, sf: conformed(spark, sf).select("trip_id", "departure_station_id", "departure_station_match", "departure_label", "is_ebike"),
+    "excel_signature": lambda spark, sf: C.serial_signature(D.read(spark, sf, "orders").select(F.lit("s").alias("system_id"), F.concat(F.lit("y"), (F.col("o_orderkey") % 4).cast("string")).alias("source_file"), F.when(F.col("o_orderkey") % 4 < 2, (36526 + F.col("o_orderkey") % F.when(F.col("o_orderkey") % 4 == 0, 12).otherwise(40)).cast("string")).alias("departure_raw")), 20),
+    "weather_coverage": lambda spark, sf: L.weather_coverage(M.trusted(D.fact_o(spark, sf)).groupBy("system_id").agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")), D.weather(spark, sf)),
+    "shared_pairs": _table("events", shared_pairs),
     "fact_by_canonical": canonical_fact,
     "stations_meta": lambda spark, sf: M.stations_meta(dim_station(spark, sf)),
-    "unbridged": lambda spark, sf: D.trips_o(spark, sf).groupBy("system_id").agg(F.countDistinct(F.when(F.col("departure_station_id").like("%:name:%"), F.col("departure_station_id"))).alias("name_only"), F.countDistinct("departure_station_id").alias("identities")),
-    "resolution_buckets": lambda spark, sf: resolution(D.trips_o(spark, sf)),
+    "unbridged": lambda spark, sf: D.fact_o(spark, sf).groupBy("system_id").agg(F.countDistinct(F.when(F.col("departure_station_id").like("%:name:%"), F.col("departure_station_id"))).alias("name_only"), F.countDistinct("departure_station_id").alias("identities")),
+    "resolution_buckets": lambda spark, sf: resolution(D.fact_o(spark, sf)),
     "common_window": _o(lambda f: M.trusted(f).groupBy("system_id").agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")).agg(F.max("a").alias("first_day"), F.min("b").alias("last_day"))),
     "calendar_coverage": _o(calendar_coverage),
     "monthly_pivot": _o(lambda f: M.trips_monthly(f).groupBy("month").pivot("system_id", [f"sys-{i}" for i in range(5)]).agg(F.sum("trips")).toDF("month", *[f"sys_{i}" for i in range(5)])),

@@ -20,13 +20,23 @@ def trusted(fact: DataFrame) -> DataFrame:
     return fact.filter(~F.array_contains("quality_flags", "implausible_date"))
 
 
+def month_roll(fact: DataFrame) -> DataFrame:
+    """One pass over the fact: each month's trusted trips and days, and whether too few days were observed.
+
+    Too few are three or less, and any missing day in a system's last month.
+    """
+    ok = ~F.array_contains("quality_flags", "implausible_date")
+    days = fact.groupBy("system_id", "trip_month", F.when(ok, F.col("date_key")).alias("_day")).agg(F.count("*").alias("n"))
+    months = days.groupBy("system_id", "trip_month").agg(F.count("_day").alias("days_observed"), F.coalesce(F.sum(F.when(F.col("_day").isNotNull(), F.col("n"))), F.lit(0)).alias("trips"))
+    # A row for each month of a system.
+    last = F.max("trip_month").over(Window.partitionBy("system_id"))
+    rows = months.withColumns({"days_in_month": F.dayofmonth(F.last_day("trip_month")).cast("long"), "last_month": last}).filter("trips > 0")
+    return rows.withColumn("stub", (F.col("days_observed") <= STUB_DAYS) | ((F.col("trip_month") == F.col("last_month")) & (F.col("days_observed") < F.col("days_in_month"))))
+
+
 def incomplete_months(fact: DataFrame) -> DataFrame:
     """Months with few observed days, and each system's last month where days are missing."""
-    days = trusted(fact).groupBy("system_id", "trip_month").agg(F.countDistinct("date_key").alias("days_observed"), F.count("*").alias("trips"))
-    last = fact.groupBy("system_id").agg(F.max("trip_month").alias("last_month"))
-    rows = days.join(F.broadcast(last), "system_id").withColumn("days_in_month", F.dayofmonth(F.last_day("trip_month")).cast("long"))
-    stub = (F.col("days_observed") <= STUB_DAYS) | ((F.col("trip_month") == F.col("last_month")) & (F.col("days_observed") < F.col("days_in_month")))
-    return rows.filter(stub).select("system_id", "trip_month", "days_observed", "days_in_month", "trips")
+    return month_roll(fact).filter("stub").select("system_id", "trip_month", "days_observed", "days_in_month", "trips")
 
 
 def complete(fact: DataFrame) -> DataFrame:
@@ -35,11 +45,11 @@ def complete(fact: DataFrame) -> DataFrame:
 
 
 def trips_monthly(fact: DataFrame) -> DataFrame:
-    return complete(fact).groupBy("system_id", month_text().alias("month")).agg(F.count("*").alias("trips"))
+    return month_roll(fact).filter("not stub").select("system_id", month_text().alias("month"), "trips")
 
 
 def seasonality(fact: DataFrame, first_year: int) -> DataFrame:
-    monthly = complete(fact).filter(F.col("trip_year") >= first_year).groupBy("system_id", "trip_month").agg(F.count("*").alias("n"))
+    monthly = month_roll(fact).filter("not stub").filter(F.year("trip_month") >= first_year).select("system_id", "trip_month", F.col("trips").alias("n"))
     return monthly.groupBy("system_id", F.month("trip_month").cast("long").alias("month_of_year")).agg(F.round(F.avg("n")).cast("long").alias("mean_trips"), F.count("*").alias("months"))
 
 
@@ -194,8 +204,9 @@ def stations_meta(stations: DataFrame) -> DataFrame:
     return stations.groupBy("system_id").agg(F.count_if(F.col("lat").isNull()).alias("no_coordinates"), F.count_if(F.col("lifetime_events") < MIN_EVENTS).alias("few_events"), F.count("*").alias("stations"))
 
 
-def stations(dim: DataFrame, net: DataFrame) -> DataFrame:
-    shown = dim.filter(F.col("lat").isNotNull() & (F.col("lifetime_events") >= MIN_EVENTS))
+def stations(dim: DataFrame, net: DataFrame, least: int = MIN_EVENTS) -> DataFrame:
+    """Stations with a place and enough events, and their net flow; refuse_missing_net() is for publishing."""
+    shown = dim.filter(F.col("lat").isNotNull() & (F.col("lifetime_events") >= least))
     return shown.join(net, ["system_id", "station_id"], "left").select("system_id", "station_id", "station_name", "lat", "lon", "lifetime_events", "net", "is_active")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import trips as O
+from . import landing, scratch
 
 #: First trusted year and the day that stands for today, both inside the data so that either bound marks rows.
 FIRST_TRUSTED, AS_OF = 1996, "2001-06-30"
@@ -46,7 +47,8 @@ def trips_o(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_o(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.conform(trips_o(spark, sf_dir), AS_OF, FIRST_TRUSTED)
+    """The fact table of trips_o, written once for a session, as a warehouse keeps it."""
+    return scratch.once(spark, sf_dir, "fact_o", lambda s, d: O.conform(trips_o(s, d), AS_OF, FIRST_TRUSTED), "system_id")
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +66,113 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_r(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.conform(rides(spark, sf_dir), "2030-01-01", 2009)
+    return scratch.once(spark, sf_dir, "fact_r", lambda s, d: O.conform(rides(s, d), "2030-01-01", 2009), "system_id")
+
+
+def bridged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bridge for trips_o: every other name-only station is the dock with the next number."""
+    k = F.col("s_suppkey")
+    system = F.explode(F.array(*[F.lit(f"sys-{i}") for i in range(5)])).alias("system")
+    rows = read(spark, sf_dir, "supplier").filter(k % 20 == 0).select(system, k)
+    return rows.select(F.concat(F.col("system"), F.lit(":name:station "), k.cast("string")).alias("era_id"), F.concat(F.col("system"), F.lit(":s"), (k + 1).cast("string")).alias("canonical_id"), F.lit("name").alias("via"))
+
+
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot rows of a third of the stations of trips_o: two periods, the later without a name or a place now and then."""
+    k = F.col("s_suppkey")
+    period = F.explode(F.array(F.lit("2019"), F.lit("2020"))).alias("source_period")
+    system = F.explode(F.array(*[F.lit(f"sys-{i}") for i in range(5)])).alias("system_id")
+    rows = read(spark, sf_dir, "supplier").filter(k % 3 == 0).select("s_suppkey", period).select("*", system)
+    late = F.col("source_period") == "2020"
+    return rows.select(
+        "system_id", "source_period", F.concat(F.lit("s"), k.cast("string")).alias("station_key"), F.when(~(late & (k % 2 == 0)), F.concat_ws(" ", F.lit("Listed"), k.cast("string"), "source_period")).alias("station_name"),
+        F.when(~(late & (k % 5 == 0)), F.lit(45.0) + k % 50 * 0.01 + F.when(late, 0.001).otherwise(0.0)).alias("lat"), (F.lit(-73.0) - k % 7 * 0.01).alias("lon"),
+    )
+
+
+def live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live docks of a quarter of the stations of trips_o; a fifth of them lie where no system is."""
+    k = F.col("s_suppkey")
+    system = F.explode(F.array(*[F.lit(f"sys-{i}") for i in range(5)])).alias("system_id")
+    key = F.col("s_suppkey").cast("string")
+    rows = read(spark, sf_dir, "supplier").filter(k % 4 == 0).select("s_suppkey", system)
+    return rows.select("system_id", F.concat(F.col("system_id"), F.lit(":s"), key).alias("station_id"), F.concat(F.lit("Live "), key).alias("name"), F.when(k % 5 == 0, 0.0).otherwise(F.lit(46.0) + k % 50 * 0.01).alias("lat"), (F.lit(-74.0) - k % 7 * 0.01).alias("lon"))
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as live docks for the bridge: some with an older code, names with remarks and spaces."""
+    k = F.col("station_id").cast("long")
+    name = F.concat(F.lit("Rue "), k.cast("string"), F.when(k % 4 == 0, F.lit(" / Parc (Old)")).when(k % 4 == 1, F.lit(" - Parc")).otherwise(F.lit("")))
+    return docks(spark, sf_dir).select("station_id", F.when(k % 3 == 0, (9000 + k).cast("string")).alias("short_name"), name.alias("name"), "lat", "lon")
+
+
+def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd customers as stations known by name only; a quarter bear a dock's name."""
+    k = F.col("k")
+    rows = places(spark, sf_dir).withColumn("k", F.col("era_id").cast("long")).filter(k % 2 == 1)
+    name = F.when(k % 4 == 1, F.concat(F.lit("rue "), (k % 40).cast("string"))).otherwise(F.concat(F.lit("lane "), k.cast("string")))
+    return rows.select(F.concat(F.lit("br:name:"), k.cast("string")).alias("era_id"), name.alias("nm"), "lat", "lon")
+
+
+def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even customers as snapshot stations: under a code, a key or none; some without a place, some far off."""
+    k = F.col("k")
+    rows = places(spark, sf_dir).withColumn("k", F.col("era_id").cast("long")).filter(k % 2 == 0)
+    id_ = F.when(k % 10 == 0, (9003 + k % 3 * 3).cast("string")).when(k % 10 == 2, (1 + k % 9).cast("string")).otherwise(F.concat(F.lit("o"), k.cast("string")))
+    label = F.when(k % 3 == 0, F.concat(F.lit("RUE "), (k % 40).cast("string"))).when(k % 3 == 1, F.concat(F.lit("Rue "), (k % 40).cast("string"), F.lit("/Parc"))).otherwise("Avenue")
+    return rows.select(F.concat(F.lit("br:"), id_).alias("era_id"), label.alias("label"), F.when(k % 7 != 0, F.col("lat")).alias("lat"), F.when(k % 7 != 0, F.col("lon")).alias("lon"))
+
+
+#: Two layouts in which the events are published for landing, and where their columns go.
+LAYOUTS = (("Trip Id", "Start date", "Start station", "Bike"), ("Bike number", "Trip Id", "Start time", "Station code", "Note"))
+ERAS = landing.EraMap({"Trip Id": "trip_id", "Start date": "departure_raw", "Start station": "departure_station_name", "Bike": "bike_id", "Bike number": "bike_id", "Start time": "departure_raw", "Station code": "departure_station_key", "Note": ""})
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> landing.Landed:
+    """Events written as CSV files in two layouts, a period for each type, and landed again."""
+    e = read(spark, sf_dir, "events")
+    id_, ts, bike, files = F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), (F.col("user_id") % 40).cast("string"), []
+    top = scratch.new_path(spark, "published")
+    forms = ((F.col("event_type").isin("view", "click"), (id_, ts, F.concat(F.lit('Rue "'), bike, F.lit('", Parc')), bike)), (~F.col("event_type").isin("view", "click"), (bike, id_, ts, F.concat(F.lit(" "), bike, F.lit(".0")), F.lit("x"))))
+    for i, (these, cells) in enumerate(forms):
+        rows = e.filter(these).select("event_type", *[c.alias(n) for c, n in zip(cells, LAYOUTS[i], strict=True)])
+        rows.write.partitionBy("event_type").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{top}/{i}")
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(f"{top}/{i}").select("path").collect()
+        files += [landing.SourceFile(r.path, "ev", r.path.split("event_type=")[1].split("/")[0], "made here") for r in found]
+    return landing.land(spark, files, {"ev": ERAS})
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed text of three systems from the events: every way to write times, keys, names and signals."""
+    e = read(spark, sf_dir, "events")
+    k, u, f = F.col("event_id") % 6, F.col("user_id") % 7, lambda p: F.date_format("ts", p)
+    system = F.element_at(F.array(*map(F.lit, ("van", "mtl", "tor"))), (F.col("event_id") % 3 + 1).cast("int"))
+    raw = F.when(k == 0, f("dd/MM/yyyy HH:mm")).when(k == 1, f("MM/dd/yyyy HH:mm:ss")).when(k == 2, f("yyyy/MM/dd HH:mm:ss")).when(k == 4, f("yyyy-MM-dd HH:mm:ss")).when(k == 5, F.when(F.col("event_id") % 12 == 5, (30000 + F.col("event_id") % 10000).cast("string")).otherwise("gone"))
+    key = F.when(u == 0, "NULL").when(u == 1, F.concat((F.col("user_id") % 50).cast("string"), F.lit(".0"))).when(u == 2, F.concat(F.lit(" "), (F.col("user_id") % 50).cast("string"), F.lit(" "))).when(u == 3, "")
+    name = F.when(u == 0, "null").when(u == 3, F.concat(F.lit("  Rue  "), (F.col("user_id") % 50).cast("string"))).when(u == 4, F.concat((100 + F.col("user_id") % 900).cast("string"), F.lit(" Main & "), u.cast("string"))).when(u == 5, " ")
+    cells = {
+        "trip_id": F.col("event_id").cast("string"), "departure_raw": raw, "departure_ms": F.when(k == 3, F.unix_millis(F.col("ts").cast("timestamp")).cast("string")), "departure_station_key": key, "departure_station_name": name,
+        "duration_s": F.when(u == 6, "n/a").otherwise(F.concat(F.floor("value").cast("string"), F.lit(".5"))), "departure_lat": F.when(u != 2, F.lit("45.5")).otherwise("north"),
+        "electric_bike": F.when(u < 3, "TRUE").when(u == 3, "no").when(u == 4, ""), "bike_model": F.when(u < 2, "efit g5").when(u < 4, "ICONIC"), "bike_id": F.concat(F.lit(" "), u.cast("string")),
+    }
+    rows = e.select(system.alias("system_id"), F.lit("p").alias("source_period"), F.concat(F.lit("f"), k.cast("string")).alias("source_file"), *[c.alias(n) for n, c in cells.items()])
+    return rows.select("*", *[F.lit(None).cast("string").alias(c) for c in landing.TRIP_COLUMNS if c not in cells])
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather of sys-0 to sys-3 on the days with orders, but for some days and some temperatures."""
+    d = F.dayofyear("date_key")
+    days = read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date_key")).distinct().filter(d % 10 != 0)
+    return days.select(F.explode(F.array(*[F.lit(f"sys-{i}") for i in range(4)])).alias("system_id"), "date_key", F.when(d % 7 != 0, d.cast("double")).alias("temp_mean_c"))
+
+
+def order_of_files(spark: SparkSession) -> DataFrame:
+    """Date orders of the files of raw_trips, proven elsewhere."""
+    return spark.createDataFrame([(s, f"f{i}", o) for s in ("van", "mtl", "tor") for i, o in ((0, "day"), (1, "month"), (2, "year"))], "system_id string, source_file string, date_order string")
+
+
+def zones(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("van", "America/Vancouver"), ("mtl", "America/Montreal"), ("tor", "America/Toronto")], "system_id string, zone string")
 
 
 def mapping(spark: SparkSession) -> DataFrame:
