@@ -40,9 +40,11 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where it is unset, as in tests."""
+    """The cluster's spark.checkpoint.dir; a temporary folder only where it is unset and the master is local, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='ridewell-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path

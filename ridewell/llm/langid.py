@@ -151,23 +151,24 @@ class Model:
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
 
-def train(docs: DataFrame, per_language: int = 400, vocabulary: int = 20_000, training: Column | None = None) -> Model:
+def train(docs: DataFrame, per_language: int = 400, training: Column | None = None) -> Model:
     """Fit on at most per_language labelled documents of each language, taken by a hash of doc_id.
 
-    Of each language the `vocabulary` commonest words and n-grams of each order are kept, so that the
-    model has a size set by these parameters and the number of languages. Ties go to the smaller gram.
+    Every word and n-gram of that sample is kept, so the model's size is set by per_language and the
+    number of languages.
     """
     usable = docs.filter("lang is not null and text is not null")
     if training is not None:
         usable = usable.filter(training)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= per_language)
+    # First of parts of a language, then of what these leave, so that no task sees a whole language.
+    ids = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(64)))
+    for by in (("lang", "part"), ("lang",)):
+        order = Window.partitionBy(*by).orderBy("h", "doc_id")
+        ids = ids.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= per_language)
     # At most per_language ids for each language.
     sample = usable.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
     counts = sample.mapInArrow(_count, "lang string, gram_order int, gram string, n long").groupBy("lang", "gram_order", "gram").agg(F.sum("n").alias("n"))
-    common = Window.partitionBy("lang", "gram_order").orderBy(F.desc("n"), "gram")
-    kept = counts.withColumn("at", F.row_number().over(common)).filter(F.col("at") <= vocabulary).drop("at")
-    return Model(kept.toPandas().sort_values(["lang", "gram_order", "gram"], ignore_index=True))
+    return Model(counts.toPandas().sort_values(["lang", "gram_order", "gram"], ignore_index=True))
 
 
 def predictor(docs: DataFrame, model: Model):

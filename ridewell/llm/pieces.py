@@ -278,10 +278,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(partial(_encode, path=path), "doc_id long, ids array<int>, best_ids array<int>, decoded string, round_trip boolean")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
+def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """Counts and SHA-256 of the ids (comma-joined) of encode(), and the ids themselves if asked for."""
     made = encode(docs, path)
     columns = [c for n, p in (("ids", ""), ("best_ids", "best_")) for c in (F.size(n).cast("long").alias(f"{p}n_tokens"), F.sha2(F.array_join(n, ",").cast("binary"), 256).alias(f"{p}ids_sha256"))]
-    return made.select("doc_id", *columns, F.length("decoded").cast("long").alias("decoded_chars"), "round_trip")
+    return made.select("doc_id", *(["ids"] if with_ids else []), *columns, F.length("decoded").cast("long").alias("decoded_chars"), "round_trip")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -258,6 +258,78 @@ def test_mix_meets_its_targets(spark):
     assert all(abs(got[s] - target[s]) < 1e-6 for s in target)
 
 
+def test_top_k_of_few_unequal_and_huge_vectors(spark):
+    rows = [(0, [1.0, 2.0], "a"), (0, [1.0, 2.0], "b"), (1, [3.0, 1.0], "a"), (2, [3.0, 1.0], "a"), (3, [1.0], "a"), (4, [], "a"), (50, [1e15, 1e15], "a"), (51, [-1e15, 2e15], "a"), (100, [2.0], "a"), (52, [1e16, 0.0], "a")]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, shard string")
+    got = {}
+    for r in topk.top_k(docs, lambda v: v % 50 == 0, k=2).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    got = {q: sorted(x) for q, x in got.items()}
+    assert got[100] == [(1, 3, 2048 * 1024)]
+    assert got[0] == [(1, 50, 2**63 - 1), (2, 51, 2**63 - 1)]  # held at the limit, then by id
+    assert got[50][0] == (1, 51, 2**63 - 1) and 4 not in got and 52 not in {v for x in got.values() for _, v, _ in x}
+
+
+def test_repeats_refuse_wide_windows(spark):
+    with pytest.raises(ValueError, match="137"):
+        repeats.remove_repeats(spark.createDataFrame([], DOCS), width=138)
+
+
+def plain_language(texts, labelled):
+    """Word-first backoff as it is told: mean costs of known words, else of the longest n-grams of which any is known."""
+    import collections
+    import math
+
+    counts = collections.defaultdict(lambda: collections.defaultdict(collections.Counter))
+    letters = re.compile(r"[^\W\d_]+")
+    for text, lang in labelled:
+        for word in (w for t in text.lower().split() for w in letters.findall(t)):
+            counts[0][word][lang] += 1
+            for n in (4, 3, 2, 1):
+                for i in range(len(word) + 3 - n):
+                    counts[n][f" {word} "[i : i + n]][lang] += 1
+    langs = sorted({lang for _, lang in labelled})
+    totals = {(n, x): 1 + sum(c[x] for c in counts[n].values()) for n in (0, 1, 2, 3, 4) for x in langs}
+    unknown = math.log10(max(totals.values())) + 1
+    cost = lambda n, g, x: math.log10(totals[n, x]) - math.log10(counts[n][g][x]) if counts[n].get(g, {}).get(x) else unknown
+
+    def word_cost(word, x):
+        if word in counts[0]:
+            return cost(0, word, x)
+        for n in (4, 3, 2, 1):
+            grams = [f" {word} "[i : i + n] for i in range(len(word) + 3 - n)]
+            if any(g in counts[n] for g in grams):
+                return sum(cost(n, g, x) for g in grams) / len(grams)
+        return unknown
+
+    out = {}
+    for key, text in texts:
+        words = [w for t in (text or "").lower().split() for w in letters.findall(t)]
+        if not words or not langs:
+            out[key] = ("und", 0.0)
+            continue
+        total = {x: sum(word_cost(w, x) for w in words) for x in langs}
+        best = min(langs, key=lambda x: (total[x], x))
+        odds = {x: 10 ** ((total[best] - total[x]) / len(words) * min(len(words), 8)) for x in langs}
+        out[key] = (best, odds[best] / sum(odds.values()))
+    return out
+
+
+def test_languages_equal_plain_backoff(spark, documents):
+    rows = duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall()
+    labelled = [(t, x) for d, t, x in rows if x is not None and t is not None and zlib.crc32(str(d).encode()) % 5 != 0]
+    told = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    want = plain_language([(d, t) for d, t, _ in rows], labelled)
+    assert {d: x for d, (x, _) in told.items()} == {d: x for d, (x, _) in want.items()}
+    assert all(abs(told[d][1] - want[d][1]) < 1e-6 for d in want)
+
+
+def test_language_ties_go_to_the_first(spark):
+    rows = [(2, "alpha", "xx"), (3, "alpha", "aa"), (4, "alpha alpha", None), (4, "alpha alpha", None), (6, "-- 12", "aa")]
+    told = [(r.doc_id, r.lang_pred) for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()]
+    assert sorted(told) == [(2, "aa"), (3, "aa"), (4, "aa"), (4, "aa"), (6, "und")]
+
+
 def test_tree_splits_quotas_exactly(spark):
     draws = {0: 1000, 1: 37, 2: 0, 3: 5}
     made = mixing.shard_quotas(spark.createDataFrame(list(draws.items()), "place long, draws long"), 3, seed=5).toPandas()
@@ -272,7 +344,7 @@ def test_ball_tree_is_exact(spark):
     x = np.round(rng.normal(size=(400, 8)), 1)
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(1000, None), (1001, [float("nan")] * 8), (1002, [None] * 8), (None, [1.0] * 8)]
     got = {}
-    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda v: v % 50 == 0, k=10, shard_rows=64, block_rows=4).collect():
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda v: v % 50 == 0, k=10, shard_rows=64, round_rows=4).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     q = np.floor(1024 * x).astype(int)
     for a in range(0, 400, 50):
