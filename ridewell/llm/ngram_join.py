@@ -398,13 +398,25 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
+def _among(docs: DataFrame, asked: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """Rows of docs but for most whose doc_id is not in asked: a bitmap of hashed ids keeps their texts from being shuffled.
+
+    The bitmap has bits / 64 rows at most, however many ids there are; beyond some ten million it
+    lets more and more pass, which the join that follows puts right.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {bits}) % 64 as int))")
+    words = asked.filter("doc_id is not null").groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    return docs.join(F.broadcast(words), F.floor(place / 64) == F.col("word")).filter(F.col("mask").bitwiseAND(bit) != 0).drop("word", "mask")
+
+
 def _linked(docs: DataFrame, classes: DataFrame, asks: DataFrame, k: int, num: int, den: int, nameless: bool) -> DataFrame:
     """Links (a, b) among the nodes asked for: asks has node, bi, bj, side and part, which bounds the asks of a row to some 1000."""
     asks = asks.groupBy("node", "part").agg(F.collect_list(F.struct("bi", "bj", "side")).alias("asks"))
     # What each candidate is asked for is settled before its text moves, so that texts and sets move once.
     asked = classes.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(asks, "node")
     asked = spill(asked.drop("part"))
-    texts = docs.join(asked, "doc_id").select("text", "node", "asks")
+    texts = _among(docs, asked).join(asked, "doc_id").select("text", "node", "asks")
     if nameless:  # sets that only rows without an id hold
         own = docs.filter("doc_id is null").select("text").mapInArrow(partial(_nodes, k=k), "text string, node long").dropDuplicates(["node"])
         texts = texts.unionByName(own.join(asked.filter("doc_id is null").drop("doc_id"), "node").select("text", "node", "asks"))
