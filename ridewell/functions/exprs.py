@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Timestamp layouts in the order in which they are tried.
-MONTH_FIRST = ("yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd H:mm", "M/d/yyyy H:mm:ss", "M/d/yy H:mm:ss", "M/d/yyyy H:mm", "M/d/yy H:mm", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm")
-DAY_FIRST = ("d/M/yyyy H:mm[:ss]", "d/M/yy H:mm[:ss]")
+#: How a date begins, and the layouts with seconds and without that it then may have, tried in turn.
+MONTH_FIRST = (
+    (r"^\d{4}-", ("yyyy-MM-dd HH:mm:ss[.SSSSSS]",), ("yyyy-MM-dd H:mm",)),
+    (r"^\d{1,2}/", ("M/d/yyyy H:mm:ss", "M/d/yy H:mm:ss"), ("M/d/yyyy H:mm", "M/d/yy H:mm")),
+    (r"^\d{4}/", ("yyyy/M/d H:mm:ss",), ("yyyy/M/d H:mm",)),
+)
+DAY_FIRST = ((r"^\d{1,2}/", ("d/M/yyyy H:mm:ss", "d/M/yy H:mm:ss"), ("d/M/yyyy H:mm", "d/M/yy H:mm")),)
+SECONDS = r":\d+:"
 #: Two Earth radii, of station matching (m) and of weather distance (km).
 STATION_RADIUS_M, WEATHER_RADIUS_KM = 6_371_000.0, 6371.0088
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -30,8 +35,13 @@ def excel_ts(s: Column) -> Column:
     return F.when(d.between(20000, 80000), F.timestamp_add("MICROSECOND", micros, F.to_timestamp_ntz(F.lit("1899-12-30"))))
 
 
-def _parsed(s: Column, layouts: tuple[str, ...]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in layouts])
+def _parsed(s: Column, shapes: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...]) -> Column:
+    """The text by the layouts of its shape: a row is parsed once or twice, not by every layout there is."""
+    tried = lambda layouts: F.coalesce(*[F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in layouts])
+    out = F.lit(None).cast("timestamp_ntz")
+    for begins, exact, short in reversed(shapes):
+        out = F.when(s.rlike(begins), F.when(s.rlike(SECONDS), tried(exact)).otherwise(tried(short))).otherwise(out)
+    return out
 
 
 def parse_month_first(s: Column) -> Column:

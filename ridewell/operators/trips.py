@@ -164,7 +164,7 @@ def latest_label(ts: str = "ts") -> Column:
 
 def station_identity(trips: DataFrame, bridged: DataFrame) -> DataFrame:
     """system_id, source_id and canonical_id: a name-only id joins the busiest station that bears its name."""
-    step = usage(trips).join(F.broadcast(bridged.select(F.col("era_id").alias("station_id"), "canonical_id")), "station_id", "left")
+    step = usage(trips).join(bridged.select(F.col("era_id").alias("station_id"), "canonical_id"), "station_id", "left")
     step = step.withColumn("mid", F.coalesce("canonical_id", "station_id"))
     mids = step.groupBy("system_id", "mid").agg(latest_label().alias("name"), F.count("*").alias("events")).withColumn("key", F.lower(F.trim("name")))
     named = F.col("mid").like("%:name:%")
@@ -184,7 +184,7 @@ def dim_date(trips: DataFrame) -> DataFrame:
 def dim_membership(trips: DataFrame, mapping: DataFrame) -> DataFrame:
     """Labels in use with their group (null: not mapped) and how many labels their system has."""
     labels = trips.filter("membership_raw is not null").select("system_id", "membership_raw").distinct()
-    return labels.join(F.broadcast(mapping), ["system_id", "membership_raw"], "left").select("system_id", "membership_raw", "membership_group", F.count("*").over(Window.partitionBy("system_id")).alias("labels_in_system"))
+    return labels.join(mapping, ["system_id", "membership_raw"], "left").select("system_id", "membership_raw", "membership_group", F.count("*").over(Window.partitionBy("system_id")).alias("labels_in_system"))
 
 
 def dim_station(trips: DataFrame, identity: DataFrame, listed: DataFrame, gbfs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions import exprs as X
 from ..operators import cleaning as C
 from ..operators import scenario as S
 from ..operators import trips as O
+from ..sources import archive as A
 from ..sources import landing as L
 from ..sources import sample as D
 from . import metrics as M
@@ -67,7 +68,7 @@ def lost(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def label_usage(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    return fact.filter("membership_raw is not null").join(F.broadcast(dim), ["system_id", "membership_raw"], "left").groupBy("system_id", "membership_raw", "membership_group").agg(F.count("*").alias("n"))
+    return fact.filter("membership_raw is not null").join(dim, ["system_id", "membership_raw"], "left").groupBy("system_id", "membership_raw", "membership_group").agg(F.count("*").alias("n"))
 
 
 def identity(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,6 +100,31 @@ def conformed(spark: SparkSession, sf: str) -> DataFrame:
     return C.identified(C.kept(clean_typed(spark, sf)), ("van",), {"van": "flag", "tor": "model"})
 
 
+def offered(orders: DataFrame) -> DataFrame:
+    """A page for each month with orders; those of odd months have labels that name no period."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    rows = orders.groupBy(month.alias("m"), F.date_format("o_orderdate", "MMMM yyyy").alias("text"), (F.month("o_orderdate") % 2).alias("odd")).agg(F.count("*").alias("n"))
+    label = F.when(F.col("odd") == 1, F.concat(F.lit("Data of "), F.col("text"))).otherwise(F.regexp_replace("text", " ", "</b>&nbsp; "))
+    return rows.select(F.lit("v").alias("system_id"), F.concat(F.lit('<li><a class="x" href="https://d/'), F.col("m"), F.lit('"><b>'), label, F.lit("</a></li>")).alias("html"))
+
+
+def periods(orders: DataFrame) -> DataFrame:
+    return A.by_period(A.anchors(offered(orders)).withColumnRenamed("href", "url"), A.label_period(F.col("label")))[0]
+
+
+def merged_manifest(supplier: DataFrame) -> DataFrame:
+    k, key = F.col("s_suppkey"), F.col("s_suppkey").cast("string")
+    pins = [F.concat(F.lit("sha"), key).alias("sha256"), k.cast("long").alias("bytes"), F.lit("csv").alias("content_format")]
+    known = supplier.filter(k % 3 != 0).select(F.lit("v").alias("system_id"), key.alias("period"), F.concat(F.lit("u"), key).alias("url"), *pins)
+    found = supplier.filter(k % 2 == 0).select(F.lit("v").alias("system_id"), key.alias("period"), F.concat(F.when(k % 5 == 0, "new").otherwise("u"), key).alias("url"))
+    return A.merge(known, found, accept_changes=True)
+
+
+def archive_gaps(orders: DataFrame) -> DataFrame:
+    held = orders.filter(F.month("o_orderdate") % 4 != 0).select(F.concat(F.lit("sys-"), (F.col("o_custkey") % 3).cast("string")).alias("system_id"), F.date_format("o_orderdate", "yyyy-MM").alias("period"))
+    return A.month_gaps(held)
+
+
 def shared_pairs(events: DataFrame) -> DataFrame:
     """Pairs of systems that use one bike id, and how many ids each pair shares."""
     uses = events.select(F.col("event_type").alias("a"), F.col("user_id").alias("bike_id")).distinct()
@@ -344,6 +370,10 @@ QUERIES = {
     "excel_signature": lambda spark, sf: C.serial_signature(D.read(spark, sf, "orders").select(F.lit("s").alias("system_id"), F.concat(F.lit("y"), (F.col("o_orderkey") % 4).cast("string")).alias("source_file"), F.when(F.col("o_orderkey") % 4 < 2, (36526 + F.col("o_orderkey") % F.when(F.col("o_orderkey") % 4 == 0, 12).otherwise(40)).cast("string")).alias("departure_raw")), 20),
     "weather_coverage": lambda spark, sf: L.weather_coverage(M.trusted(D.fact_o(spark, sf)).groupBy("system_id").agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")), D.weather(spark, sf)),
     "shared_pairs": _table("events", shared_pairs),
+    "discover_periods": _table("orders", periods),
+    "manifest_merge": _table("supplier", merged_manifest),
+    "archive_gaps": _table("orders", archive_gaps),
+    "content_kinds": _table("pages", lambda p: p.select("page_id", A.content_kind(F.col("html").cast("binary")).alias("kind"))),
     "fact_by_canonical": canonical_fact,
     "stations_meta": lambda spark, sf: M.stations_meta(dim_station(spark, sf)),
     "unbridged": lambda spark, sf: D.fact_o(spark, sf).groupBy("system_id").agg(F.countDistinct(F.when(F.col("departure_station_id").like("%:name:%"), F.col("departure_station_id"))).alias("name_only"), F.countDistinct("departure_station_id").alias("identities")),

@@ -79,17 +79,25 @@ def net_flow(fact: DataFrame) -> DataFrame:
     return out.unionByName(back).groupBy("system_id", "station_id").agg(F.sum("v").alias("net"))
 
 
+def counted_pairs(fact: DataFrame) -> DataFrame:
+    return linked(fact).groupBy("system_id", "departure_station_id", "return_station_id").agg(F.count("*").alias("trips"))
+
+
 def pairs(fact: DataFrame) -> DataFrame:
-    n = linked(fact).groupBy("system_id", "departure_station_id", "return_station_id").agg(F.count("*").alias("trips"))
+    """Pairs of stations by rank. Filter on rk, so that not all of a system's pairs meet in one task."""
     order = Window.partitionBy("system_id").orderBy(F.desc("trips"), "departure_station_id", "return_station_id")
-    return n.withColumn("rk", F.row_number().over(order))
+    return counted_pairs(fact).withColumn("rk", F.row_number().over(order))
 
 
 def flows(fact: DataFrame) -> DataFrame:
     """Concentration of trips on pairs of stations, round trips, and trips without a return station."""
-    ranked = pairs(fact)
-    tiers = [F.sum(F.when(F.col("rk") <= k, F.col("trips")).otherwise(0)).alias(n) for n, k in TIERS.items()]
-    total = ranked.groupBy("system_id").agg(F.count("*").alias("pairs"), F.sum("trips").alias("linked_trips"), *tiers, F.sum(F.when(F.col("departure_station_id") == F.col("return_station_id"), F.col("trips")).otherwise(0)).alias("round_trips"))
+    n = counted_pairs(fact)
+    round_trip = F.when(F.col("departure_station_id") == F.col("return_station_id"), F.col("trips")).otherwise(0)
+    total = n.groupBy("system_id").agg(F.count("*").alias("pairs"), F.sum("trips").alias("linked_trips"), F.sum(round_trip).alias("round_trips"))
+    # Only the first thousand of a system are ranked, which Spark takes from each task before the shuffle.
+    top = pairs(fact).filter(F.col("rk") <= max(TIERS.values()))
+    tiers = top.groupBy("system_id").agg(*[F.sum(F.when(F.col("rk") <= k, F.col("trips")).otherwise(0)).alias(t) for t, k in TIERS.items()])
+    total = total.join(tiers, "system_id").select("system_id", "pairs", "linked_trips", *TIERS, "round_trips")
     lost = trusted(fact).groupBy("system_id").agg(F.count_if(F.col("return_station_id").isNull()).alias("no_return"))
     return total.join(lost, "system_id")
 
@@ -156,7 +164,7 @@ def bike_eras(coverage: DataFrame, least: float = BIKE_COVERAGE) -> DataFrame:
 
 def dwell(fact: DataFrame, eras: DataFrame) -> DataFrame:
     """How long bikes stand at a dock, by era and year of arrival; moved bikes and disorder are counted apart."""
-    rows = complete(fact).filter("bike_id is not null").join(F.broadcast(eras.withColumnRenamed("system_id", "_s")), (F.col("system_id") == F.col("_s")) & F.col("trip_year").between(F.col("lo"), F.col("hi"))).drop("_s")
+    rows = complete(fact).filter("bike_id is not null").join(eras.withColumnRenamed("system_id", "_s"), (F.col("system_id") == F.col("_s")) & F.col("trip_year").between(F.col("lo"), F.col("hi"))).drop("_s")
     chain = Window.partitionBy("system_id", "bike_id", "lo").orderBy(F.asc_nulls_last("departure_ts"), F.asc_nulls_last("return_ts"), F.asc_nulls_last("departure_station_id"), F.asc_nulls_last("return_station_id"))
     nxt = rows.withColumns({"next_ts": F.lead("departure_ts").over(chain), "next_station": F.lead("departure_station_id").over(chain)})
     nxt = nxt.filter("return_ts is not null and return_station_id is not null and next_ts is not null and next_station is not null").filter(F.year("return_ts").between(F.col("lo"), F.col("hi")))
@@ -170,7 +178,7 @@ def dwell(fact: DataFrame, eras: DataFrame) -> DataFrame:
 
 def membership(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Trips by membership group and month."""
-    rows = complete(fact).join(F.broadcast(dim.select("system_id", "membership_raw", "membership_group")), ["system_id", "membership_raw"], "left")
+    rows = complete(fact).join(dim.select("system_id", "membership_raw", "membership_group"), ["system_id", "membership_raw"], "left")
     g = F.col("membership_group")
     return rows.groupBy("system_id", month_text().alias("month")).agg(F.count_if(g == "member").alias("member"), F.count_if(g == "casual").alias("casual"), F.count_if(~g.isin("member", "casual")).alias("other"), F.count_if(F.col("membership_raw").isNull()).alias("unlabelled"), F.count("*").alias("trips"))
 
@@ -185,7 +193,7 @@ def label_lost(monthly: DataFrame, unreliable: Column) -> DataFrame:
 def unmapped(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Labels in trusted trips that no group claims; publishing refuses while there are any."""
     mapped = dim.filter("membership_group is not null").select("system_id", "membership_raw")
-    return trusted(fact).filter("membership_raw is not null").join(F.broadcast(mapped), ["system_id", "membership_raw"], "left_anti").groupBy("system_id", "membership_raw").agg(F.count("*").alias("n"))
+    return trusted(fact).filter("membership_raw is not null").join(mapped, ["system_id", "membership_raw"], "left_anti").groupBy("system_id", "membership_raw").agg(F.count("*").alias("n"))
 
 
 def exclusions(fact: DataFrame) -> DataFrame:
