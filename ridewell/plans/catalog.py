@@ -307,6 +307,18 @@ def predictions(days: DataFrame) -> DataFrame:
     return S.predict(S.fit(days), days.filter("reason is null").select("system_id", "block", *S.WEATHER, "is_weekend")).groupBy("system_id", "block").agg(F.avg("typical").alias("typical"), F.avg("mean").alias("mean"))
 
 
+def asked_conditions(days: DataFrame) -> DataFrame:
+    """Conditions of used days, some of them made such that no answer is due."""
+    k = F.dayofmonth("day") % 7
+    rows = days.filter("reason is null")
+    return rows.select("system_id", F.when(k == 1, F.concat(F.lit("1990-"), F.date_format("day", "MM"))).otherwise(F.col("block")).alias("block"), (F.col("temp_max_c") + F.when(k == 2, 60).otherwise(0)).alias("temp_max_c"), F.when(k == 3, F.col("temp_max_c") + 0.01).otherwise(F.col("temp_min_c")).alias("temp_min_c"), (F.col("precip_mm") + F.when(k == 4, 100).otherwise(0)).alias("precip_mm"), "snow_cm", "is_weekend")
+
+
+def refused(days: DataFrame) -> DataFrame:
+    told = S.answers(S.fit(days), S.ranges(days), asked_conditions(days))
+    return told.groupBy("system_id", F.coalesce("refusal", F.lit("answered")).alias("outcome")).agg(F.count("*").alias("n"), F.count("typical").alias("figures"))
+
+
 def centroid(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("station_id").cast("long")
     mean = lambda c: F.round(F.sum(F.col(c) * (1 + k % 9)) / F.sum(1 + k % 9), 9).alias(c)
@@ -413,6 +425,10 @@ QUERIES = {
     "trend_by_temperature": _model(trend),
     "ols_fit": _model(S.fit),
     "scenario_predictions": _model(predictions),
+    "scenario_ranges": _model(lambda d: S.ranges(d).select("system_id", "month", *[F.round(f"{c}_{n}", 6).alias(f"{c}_{n}") for c in S.WEATHER for n in ("min", "max")])),
+    "scenario_refusals": _model(refused),
+    "ols_moments": _model(lambda d: S.moments(S.fit(d), d).select("system_id", "name", F.abs(F.round("moment", 6)).alias("moment"))),
+    "busiest_day": lambda spark, sf: S.busiest_day(model_days(spark, sf)),
     "weighted_centroid": centroid,
     "month_index": _table("orders", lambda o: o.select((F.year("o_orderdate").cast("long") * 12 + F.month("o_orderdate") - 1).alias("idx"), F.date_format("o_orderdate", "yyyy-MM").alias("key")).distinct()),
     "flow_rate": _o(flow_rate),

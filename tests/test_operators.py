@@ -106,9 +106,9 @@ def test_fit_recovers_planted_coefficients(spark):
 
 
 def test_fit_refuses(spark):
-    with pytest.raises(S.NotEnoughData):
+    with pytest.raises(S.Undetermined):
         S.fit_group(planted().head(5))
-    with pytest.raises(S.NotEnoughData):
+    with pytest.raises(S.Undetermined):
         S.fit_group(planted().assign(snow_cm=0.0))
 
 
