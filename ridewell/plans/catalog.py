@@ -50,6 +50,19 @@ def hour_extremes(fact: DataFrame) -> DataFrame:
     return y.groupBy("system_id").agg(F.min_by("hour", F.struct("y", "hour")).alias("drain_hour"), F.max_by("hour", F.struct("y", "hour")).alias("fill_hour"))
 
 
+def hourly_shares(fact: DataFrame) -> DataFrame:
+    """Each hour's share of a system's departures and returns, in per cent."""
+    w = Window.partitionBy("system_id")
+    share = lambda c: (100 * F.col(c) / F.sum(c).over(w)).alias(f"{c}_share")
+    return M.hourly(fact, 2009).select("system_id", "hour", share("departures"), share("returns"))
+
+
+def grid_share(fact: DataFrame) -> DataFrame:
+    """Years with a whole run of months of dwell times, and the share of these that are whole hours."""
+    rows = M.dwell(fact, M.bike_eras(M.bike_coverage(fact)))
+    return rows.filter("intervals > 0").select("system_id", "year", (F.col("months") == 12).alias("full"), (F.col("on_hour_grid") / F.col("intervals")).alias("grid"))
+
+
 def moves(fact: DataFrame) -> DataFrame:
     half = F.col("abs_net") / 2
     return M.rebalancing(fact).select("system_id", "year", (half / F.col("days")).alias("moves_per_day"), (1000 * half / F.col("linked_trips")).alias("moves_per_1k"))
@@ -432,4 +445,8 @@ QUERIES = {
     "weighted_centroid": centroid,
     "month_index": _table("orders", lambda o: o.select((F.year("o_orderdate").cast("long") * 12 + F.month("o_orderdate") - 1).alias("idx"), F.date_format("o_orderdate", "yyyy-MM").alias("key")).distinct()),
     "flow_rate": _o(flow_rate),
+    "hourly_shares": _r(hourly_shares),
+    "dwell_grid_share": _r(grid_share),
+    "ebike_percent": _o(lambda f: M.ebike_share(f, ["sys-0", "sys-2"]).select("system_id", "month", (100 * F.col("ebike") / F.col("classified")).alias("percent"))),
+    "peak_ratio": _o(lambda f: M.seasonality(f, SAMPLE_FIRST_YEAR).groupBy("system_id").agg((F.max("mean_trips") / F.min("mean_trips")).alias("ratio"), F.max_by("month_of_year", F.struct("mean_trips", "month_of_year")).alias("peak_month"))),
 }
