@@ -150,6 +150,26 @@ def _asks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["node", "bi", "bj", "side"])
 
 
+def pack(sigs: list[np.ndarray], places: list[np.ndarray], heads: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    """Signatures by bucket: heads (node, kind, need, count) and four bytes of each of their signatures. Empties the lists."""
+    sig, place, names, counts = np.concatenate(sigs), np.concatenate(places), np.array([h[:3] for h in heads], np.int64), [h[3] for h in heads]
+    head = np.repeat(np.arange(len(heads)), counts)
+    for x in (sigs, places, heads):
+        x.clear()
+    buckets, code = np.unique(place, return_inverse=True)
+    rows = []
+    for x, (own_head, own_sig) in by_bucket(code, len(buckets), head, sig.astype(np.uint32)):
+        which, n = np.unique(own_head, return_counts=True)  # by_bucket keeps the order, so heads ascend
+        node, kind, need = names[which].T
+        rows.append((int(buckets[x]), b"".join((np.uint32(len(which)).tobytes(), node.tobytes(), kind.astype(np.uint16).tobytes(), need.astype(np.uint8).tobytes(), n.astype(np.uint32).tobytes(), own_sig.tobytes()))))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
+
+
+def places_of(sig: np.ndarray, at: np.ndarray, g: int, subs: int) -> np.ndarray:
+    """Buckets of signatures at so many segments of group g: by stretch of segments, and by head where a stretch is dealt to several."""
+    return (mix(((sig >> np.uint64(32)) % np.uint64(subs) << np.uint64(40)) + (at // STRETCH).astype(np.uint64) + np.uint64(g << 24)) >> np.uint64(33)).astype(np.int64)
+
+
 def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dict[int, tuple[int, int, int]], subs: dict[int, int], recent: int = 100_000, flush: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Signatures by bucket, packed: heads (node, kind, need, count) and four bytes of each of their signatures.
 
@@ -162,19 +182,6 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
     places: list[np.ndarray] = []
     heads: list[tuple[int, int, int, int]] = []
 
-    def packed() -> pa.RecordBatch:
-        sig, place, names, counts = np.concatenate(sigs), np.concatenate(places), np.array([h[:3] for h in heads], np.int64), [h[3] for h in heads]
-        head = np.repeat(np.arange(len(heads)), counts)
-        for x in (sigs, places, heads):
-            x.clear()
-        buckets, code = np.unique(place, return_inverse=True)
-        rows = []
-        for x, (own_head, own_sig) in by_bucket(code, len(buckets), head, sig.astype(np.uint32)):
-            which, n = np.unique(own_head, return_counts=True)  # by_bucket keeps the order, so heads ascend
-            node, kind, need = names[which].T
-            rows.append((int(buckets[x]), b"".join((np.uint32(len(which)).tobytes(), node.tobytes(), kind.astype(np.uint16).tobytes(), need.astype(np.uint8).tobytes(), n.astype(np.uint32).tobytes(), own_sig.tobytes()))))
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "packed"])
-
     for _, edges, hashes, nodes in _sets(batches, k):
         for a, b, node in zip(edges[:-1], edges[1:], nodes.tolist(), strict=True):
             if a == b or node in seen:
@@ -212,12 +219,12 @@ def _segments(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, plan: dic
                     parts.append((mix(totals[seg[dropped]] - tok[dropped] + salt[seg[dropped]]), seg[dropped]))
                 for kind, (x, at) in enumerate(parts):
                     sigs.append(x)
-                    places.append((mix(((x >> np.uint64(32)) % np.uint64(subs[g]) << np.uint64(40)) + (at // STRETCH).astype(np.uint64) + np.uint64(g << 24)) >> np.uint64(33)).astype(np.int64))
+                    places.append(places_of(x, at, g, subs[g]))
                     heads.append((node, 2 * g + kind, min(need, 255), len(x)))
         if sum(map(len, sigs)) > flush:
-            yield packed()
+            yield pack(sigs, places, heads)
     if sigs:
-        yield packed()
+        yield pack(sigs, places, heads)
 
 
 def _unpacked(bucket: int, x: bytes) -> tuple[np.ndarray, ...]:
@@ -472,8 +479,11 @@ def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Band
     return asks.join(loads, "node").withColumn("part", F.pmod(F.xxhash64("bi", "bj"), F.col("parts"))).drop("parts")
 
 
-def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, text hash, size, node and the component's least (doc_id, text hash) of every row of docs (doc_id, text)."""
+def _grouped(docs: DataFrame, k: int, num: int, den: int, plans=allocate, signed=_segments) -> DataFrame:
+    """doc_id, text hash, size, node and the component's least (doc_id, text hash) of every row of docs (doc_id, text).
+
+    plans tells how many signatures a group's sets have, signed makes them; candidates are nodes that share enough of them.
+    """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     bands = Bands(num, den, 1 << 40)
@@ -488,9 +498,9 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     for g in range(len(bands.low) - 1):
         people = population.get(g, 0) + population.get(g - 1, 0)
         if population.get(g, 0) and people > 1 and bands.differ(g):
-            plan[g] = allocate(bands.differ(g), bands.low[g], people)
+            plan[g] = plans(bands.differ(g), bands.low[g], people)
     buckets = partitions(spark, total * 7e-6)
-    packed = docs.mapInArrow(partial(_segments, k=k, bands=bands, plan=plan, subs=spread(plan, population, bands.low)), "bucket int, packed binary")
+    packed = docs.mapInArrow(partial(signed, k=k, bands=bands, plan=plan, subs=spread(plan, population, bands.low)), "bucket int, packed binary")
     shared = spill(packed.repartition(buckets, "bucket").mapInArrow(_shared, "sig long, node long, band int, need int, centre long, whole boolean, pair boolean"))
     # A linked set shares `need` signatures at least.
     enough = shared.groupBy("node", "band").agg(F.count("*").alias("n"), F.max("need").alias("most")).filter("n >= most").select("node", "band")

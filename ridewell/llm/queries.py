@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, ngram_join, pieces, quality_rules, repeats, secrets, token_counts, topk
+from . import chat, divergence, langid, minhash, mixing, ngram_join, pieces, quality_rules, repeats, secrets, token_counts, topk, whitening
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
@@ -15,10 +15,15 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_join.op8,
     "op9_token_counts": token_counts.op9,
     "op10_language_id": langid.op10,
+    "op11_source_divergence": divergence.op11,
+    "op12_minhash_dedup": minhash.op12,
+    "op13_embedding_whitening": whitening.op13,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op2_exact_top_k": topk.OP2_SQL,
     "op6_chat_format": chat.OP6_SQL,
     "op8_ngram_jaccard_join": ngram_join.OP8_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
+    "op12_minhash_dedup": minhash.OP12_SQL,
 }
