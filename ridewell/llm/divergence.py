@@ -262,9 +262,11 @@ def _tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = counts.filter("term is null").select("lang", "source", (F.row_number().over(places) - 1).alias("a"))
     sizes = groups.groupBy("lang").agg(F.count("*").alias("size"))
     heavy = F.col("spread") >= F.lit(HEAVY) * F.col("size")
-    words = found.groupBy("lang", "term").agg(F.first("spread").alias("spread"), F.first("lang_n").alias("lang_n"))
-    langs = words.join(sizes, "lang").groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"), F.count_if(heavy).alias("heavies"))
-    totals = found.join(sizes, "lang").groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if(~heavy).alias("light"))
+    # Summed by spread first, so that few rows meet their lang's size.
+    words = found.groupBy("lang", "term").agg(F.first("spread").alias("spread"), F.first("lang_n").alias("lang_n")).groupBy("lang", "spread").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_n"))
+    langs = words.join(sizes, "lang").groupBy("lang").agg(F.sum("terms").alias("kept"), F.sum("lang_n").alias("lang_total"), F.sum(F.when(heavy, F.col("terms")).otherwise(0)).alias("heavies"))
+    held = found.groupBy("lang", "source", "spread").agg(F.count("*").alias("terms"), F.sum("n").alias("n"))
+    totals = held.join(sizes, "lang").groupBy("lang", "source").agg(F.sum("n").alias("total"), F.sum(F.when(heavy, 0).otherwise(F.col("terms"))).alias("light"))
     zero = {"kept": 0, "lang_total": 0, "heavies": 0, "total": 0, "light": 0}
     made = groups.join(sizes, "lang").join(langs, "lang", "left").join(totals, ["lang", "source"], "left").fillna(zero)
     made = made.withColumn("lights", F.col("kept") - F.col("heavies")).withColumn("base", _share("0", "total"))
