@@ -135,7 +135,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     node first; then nodes of different components that still share bands meet in blocks, as in the
     n-gram join, whose verification and components these are.
     """
-    found = _grouped(docs, k, num, den, plans=lambda differ, size, population: (BANDS, 0, 0), signed=partial(_banded, need=needed(num, den)))
+    found = _grouped(docs, k, num, den, plans=lambda differ, size, population: (BANDS, 0, 0), signed=partial(_banded, need=needed(num, den)), one_sided=True)
     component = F.col("least.doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

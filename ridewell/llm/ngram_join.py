@@ -443,11 +443,14 @@ def _stars(shared: DataFrame) -> DataFrame:
     return leaves.unionByName(parts.select(F.col("bi").alias("node"), "bi", "bj", F.lit(0).alias("side"), F.floor(F.col("bj") / 1000).alias("part")))
 
 
-def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame | None:
+def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Bands, one_sided: bool = False) -> DataFrame | None:
     """Asks of the nodes that share a signature with a node of another component so far; None where there are none.
 
     Nodes of one component lie in blocks of their own, other nodes in blocks by the first node of
     the largest signature they are in; what shares no signature beyond its component is not asked for.
+    Shared signatures are counted by node and block of others. `one_sided` counts the nodes of the
+    lesser of two labels only, and asks for all nodes of the blocks that those share enough with:
+    right where a node shares enough with most blocks of a large label, whatever its own.
     """
     placed = shared.join(joined.select("node", F.col("label").alias("comp")), "node", "left").withColumn("part", F.coalesce("comp", "node"))
     wide = placed.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("whole").alias("any"), F.count("*").alias("members")).filter("lo <> hi and any").select("sig", "members")
@@ -459,17 +462,24 @@ def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Band
     label = F.when(F.col("comp").isNull(), F.xxhash64(F.lit("alone"), F.coalesce("second", "first"))).otherwise(F.xxhash64(F.lit("comp"), "comp"))
     named = named.join(further, "first", "left").select("node", label.alias("label"), F.col("comp").isNotNull().alias("one"))
     counts = spill(named.groupBy("label").count())
-    named = named.join(counts, "label").select("node", "label", "one", F.xxhash64("label", F.expr(f"pmod(xxhash64(node), cast(ceil(count / {BLOCK}.0) as int))")).alias("block"))
+    named = named.join(counts, "label").select("node", "label", "one", F.struct("count", "label").alias("size"), F.xxhash64("label", F.expr(f"pmod(xxhash64(node), cast(ceil(count / {BLOCK}.0) as int))")).alias("block"))
     held = spill(rest.select("sig", "node", "band", "need").join(named, "node"))
     blocks = held.groupBy("sig", "label", "block").agg(F.count("node").alias("n"))
     labels = blocks.groupBy("sig", "label").agg(F.sum("n").alias("n"))
-    alone = held.select("sig", "label", "one").distinct().join(labels, ["sig", "label"])
+    alone = held.select("sig", "label", "one", "size").distinct().join(labels, ["sig", "label"])
     # Labels that meet under a signature; within one component nothing is left to ask.
-    duos = alone.join(labels.select("sig", F.col("label").alias("far")), "sig").filter("label <> far or (not one and n > 1)").select("sig", "label", "far")
+    fars = alone.select("sig", F.col("label").alias("far"), F.col("size").alias("far_size"))
+    lesser = F.col("size") < F.col("far_size") if one_sided else F.col("label") != F.col("far")
+    duos = alone.join(fars, "sig").filter(lesser | ((F.col("label") == F.col("far")) & ~F.col("one") & (F.col("n") > 1))).select("sig", "label", "far")
     others = blocks.select("sig", F.col("label").alias("far"), F.col("block").alias("other"), F.col("n").alias("m"))
-    met = held.join(duos, ["sig", "label"]).join(others, ["sig", "far"]).filter("block <> other or m > 1").groupBy("node", "block", "other", "band").agg(F.count("*").alias("n"), F.max("need").alias("need"))
+    met = held.select("sig", "node", "band", "need", "label", "block").join(duos, ["sig", "label"]).join(others, ["sig", "far"]).filter("block <> other or m > 1")
+    met = met.groupBy("node", "block", "other", "band", (F.col("label") == F.col("far")).alias("same")).agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select("node", "band", "block", "other", "same")
+    if one_sided:
+        met = spill(met)
+        facing = met.filter("not same").select(F.col("other").alias("block"), F.col("block").alias("other"), "band").distinct()
+        met = met.unionByName(held.select("node", "band", "block").distinct().join(facing, ["block", "band"]).withColumn("same", F.lit(False)))
     bi, bj = F.least("block", "other"), F.greatest("block", "other")
-    asks = met.filter("n >= need").select("node", "band", bi.alias("bi"), bj.alias("bj"), F.when(F.col("block") == bi, 0).otherwise(1).alias("side"))
+    asks = met.select("node", "band", bi.alias("bi"), bj.alias("bj"), F.when(F.col("block") == bi, 0).otherwise(1).alias("side"))
     lows = F.array(*map(F.lit, bands.low))
     sketched = classes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("own"), F.first("next_sketch").alias("next"))
     of = F.size(F.filter(lows, lambda x: x <= F.col("n_shingles"))) - 1
@@ -479,7 +489,7 @@ def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Band
     return asks.join(loads, "node").withColumn("part", F.pmod(F.xxhash64("bi", "bj"), F.col("parts"))).drop("parts")
 
 
-def _grouped(docs: DataFrame, k: int, num: int, den: int, plans=allocate, signed=_segments) -> DataFrame:
+def _grouped(docs: DataFrame, k: int, num: int, den: int, plans=allocate, signed=_segments, one_sided: bool = False) -> DataFrame:
     """doc_id, text hash, size, node and the component's least (doc_id, text hash) of every row of docs (doc_id, text).
 
     plans tells how many signatures a group's sets have, signed makes them; candidates are nodes that share enough of them.
@@ -509,7 +519,7 @@ def _grouped(docs: DataFrame, k: int, num: int, den: int, plans=allocate, signed
     # First each node with one centre; most copies meet there, and only what is left in different components meets further.
     links = _linked(docs, classes, _stars(shared), k, num, den, nameless)
     label = components(links)
-    asks = _apart(shared, label, classes, bands)
+    asks = _apart(shared, label, classes, bands, one_sided)
     if asks is not None:
         more = _linked(docs, classes, asks, k, num, den, nameless)
         label = components(label.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
