@@ -448,9 +448,9 @@ def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Band
 
     Nodes of one component lie in blocks of their own, other nodes in blocks by the first node of
     the largest signature they are in; what shares no signature beyond its component is not asked for.
-    Shared signatures are counted by node and block of others. `one_sided` counts the nodes of the
-    lesser of two labels only, and asks for all nodes of the blocks that those share enough with:
-    right where a node shares enough with most blocks of a large label, whatever its own.
+    Shared signatures are counted by node and block of others. `one_sided` counts those of the nodes
+    of the lesser of two labels with all of the other, and asks for all nodes of its blocks: right
+    where a node that shares enough with a large label does so with most of its blocks.
     """
     placed = shared.join(joined.select("node", F.col("label").alias("comp")), "node", "left").withColumn("part", F.coalesce("comp", "node"))
     wide = placed.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("whole").alias("any"), F.count("*").alias("members")).filter("lo <> hi and any").select("sig", "members")
@@ -471,13 +471,17 @@ def _apart(shared: DataFrame, joined: DataFrame, classes: DataFrame, bands: Band
     fars = alone.select("sig", F.col("label").alias("far"), F.col("size").alias("far_size"))
     lesser = F.col("size") < F.col("far_size") if one_sided else F.col("label") != F.col("far")
     duos = alone.join(fars, "sig").filter(lesser | ((F.col("label") == F.col("far")) & ~F.col("one") & (F.col("n") > 1))).select("sig", "label", "far")
-    others = blocks.select("sig", F.col("label").alias("far"), F.col("block").alias("other"), F.col("n").alias("m"))
-    met = held.select("sig", "node", "band", "need", "label", "block").join(duos, ["sig", "label"]).join(others, ["sig", "far"]).filter("block <> other or m > 1")
-    met = met.groupBy("node", "block", "other", "band", (F.col("label") == F.col("far")).alias("same")).agg(F.count("*").alias("n"), F.max("need").alias("need")).filter("n >= need").select("node", "band", "block", "other", "same")
+    near = held.select("sig", "node", "band", "need", "label", "block").join(duos, ["sig", "label"])
+    same, enough = (F.col("label") == F.col("far")).alias("same"), (F.count("*").alias("n"), F.max("need").alias("need"))
     if one_sided:
+        places = named.select(F.col("label").alias("far"), F.col("block").alias("other")).distinct()
+        met = near.groupBy("node", "band", "block", "far", same).agg(*enough).filter("n >= need").join(places, "far").select("node", "band", "block", "other", "same")
         met = spill(met)
         facing = met.filter("not same").select(F.col("other").alias("block"), F.col("block").alias("other"), "band").distinct()
         met = met.unionByName(held.select("node", "band", "block").distinct().join(facing, ["block", "band"]).withColumn("same", F.lit(False)))
+    else:
+        others = blocks.select("sig", F.col("label").alias("far"), F.col("block").alias("other"), F.col("n").alias("m"))
+        met = near.join(others, ["sig", "far"]).filter("block <> other or m > 1").groupBy("node", "block", "other", "band", same).agg(*enough).filter("n >= need").select("node", "band", "block", "other", "same")
     bi, bj = F.least("block", "other"), F.greatest("block", "other")
     asks = met.select("node", "band", bi.alias("bi"), bj.alias("bj"), F.when(F.col("block") == bi, 0).otherwise(1).alias("side"))
     lows = F.array(*map(F.lit, bands.low))
