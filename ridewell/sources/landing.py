@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import csv
 import json
+import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 from pathlib import Path
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import versions
+
 #: Landed columns in the order of the published record.
 TRIP_COLUMNS = (
     "trip_id", "departure_raw", "return_raw", "departure_ms", "return_ms", "departure_station_key", "return_station_key", "departure_station_name", "return_station_name",
@@ -122,20 +127,93 @@ def _utf8(name: str) -> str:
     return name
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names as published."""
-    rows = spark.read.option("header", False).option("encoding", "ISO-8859-1").csv(path).limit(1).collect()
-    return [_utf8(c) for c in rows[0] if c is not None] if rows else []
+def _glob_free(path: str) -> str:
+    """A path that names one file, whatever signs are in it."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines that are not blank, read byte for byte where they lie: path, block, place in the block and the line's number of quotes."""
+    reader = spark.read.schema("line string").option("header", False).option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "")
+    rows = reader.csv([_glob_free(p) for p in paths]).filter(F.trim("line") != "")
+    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "line", F.regexp_count("line", F.lit('"')).alias("quotes"))
+
+
+@dataclass(frozen=True)
+class Surveyed:
+    """A listed file as it lies there: the path that Spark tells its rows by, its header, records by lines, and whether a field spans lines."""
+
+    file: SourceFile
+    path: str | None
+    header: tuple[str, ...]
+    records: int
+    spans: bool
+
+
+def survey(spark: SparkSession, files: list[SourceFile]) -> list[Surveyed]:
+    """Headers and record counts of all files in one scan; a row for each file comes to the driver.
+
+    A file is told by its whole path, decoded, so names with any sign, and paths that end alike, are
+    theirs. A file without a line has no header. A file listed twice is refused.
+    """
+    if not files:
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    own: dict[str, SourceFile] = {}
+    for f in files:
+        at = hadoop(f.path)
+        name = _one_slash(at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString())
+        if name in own:
+            raise LandingRefused(f"{f.path} is listed twice")
+        own[name] = f
+    lines = _lines(spark, [f.path for f in files])
+    told = lines.groupBy("path").agg(F.min_by("line", F.struct("block", "place")).alias("header"), (F.count("*") - 1).alias("records"), F.max(F.col("quotes") % 2 == 1).alias("spans")).collect()
+    seen = {_one_slash(unquote(r["path"])): r for r in told}
+    if lost := sorted(set(seen) - set(own)):
+        raise LandingRefused(f"read but not listed: {lost[:5]}")
+    out = []
+    for name, f in own.items():
+        r = seen.get(name)
+        out.append(Surveyed(f, r["path"], _cells(r["header"]), r["records"], r["spans"]) if r else Surveyed(f, None, (), 0, False))
+    return out
+
+
+def _one_slash(path: str) -> str:
+    return re.sub(r"^file:/+", "file:/", path)
+
+
+def _cells(line: str) -> tuple[str, ...]:
+    """Column names of a header line that was read byte for byte; empty ones at its end are none."""
+    names = [_utf8(c) for c in next(csv.reader([line.removeprefix("\u00ef\u00bb\u00bf")]), [])]
+    while names and not names[-1].strip():
+        names.pop()
+    return tuple(names)
 
 
 def header_census(spark: SparkSession, files: list[SourceFile]) -> dict[tuple[str, ...], list[SourceFile]]:
     """Files by their layout: how many eras an archive has, and which files are in each."""
     out: dict[tuple[str, ...], list[SourceFile]] = {}
-    for f in files:
-        out.setdefault(tuple(read_header(spark, f.path)), []).append(f)
+    for s in survey(spark, files):
+        out.setdefault(s.header, []).append(s.file)
     return out
 
 
+def spanning_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path and records (without the header) of files whose quoted fields may span lines, told by quotes alone.
+
+    A record ends with a line after which the number of quotes so far is even. Every block counts the
+    lines that would end a record if it began inside a quoted field, and if it did not; which of the
+    two holds follows from the quotes of the blocks before it.
+    """
+    lines = _lines(spark, paths)
+    far = Window.partitionBy("path", "block").orderBy("place")
+    told = lines.select("path", "block", (F.sum("quotes").over(far) % 2).alias("odd"), (F.col("quotes") % 2).alias("own"))
+    blocks = told.groupBy("path", "block").agg(F.count_if(F.col("odd") == 0).alias("outside"), F.count_if(F.col("odd") == 1).alias("inside"), F.sum("own").alias("turns"))
+    before = F.coalesce(F.sum("turns").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    ends = F.when(before == 0, F.col("outside")).otherwise(F.col("inside"))
+    return blocks.select("path", ends.alias("ends")).groupBy("path").agg((F.sum("ends") - 1).alias("records"))
+
+
 def repaired(cells: list[str]) -> tuple[list[Column], Column]:
     """Cells that were read byte for byte, as text, and whether their line had to be repaired.
 
@@ -150,21 +228,11 @@ def repaired(cells: list[str]) -> tuple[list[Column], Column]:
     return text, bad
 
 
-def record_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, records by lines (without the header) and whether a quoted field may span lines.
-
-    Lines are counted where they lie, so files of any size are split.
-    """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
-    open_quote = F.regexp_count("value", F.lit('"')) % 2 == 1
-    return lines.filter(F.trim("value") != "").groupBy("path").agg((F.count("*") - 1).alias("records"), F.count_if(open_quote).alias("open_quotes"))
-
-
 def read_layout(spark: SparkSession, paths: list[str], width: int, multi_line: bool) -> DataFrame:
     """Rows of files that share a header of so many columns: c0.., `too_long` for a row with more cells, and the file's path."""
     schema = ", ".join(f"c{i} string" for i in range(width)) + ", too_long string"
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("encoding", "ISO-8859-1").option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
-    return reader.option("multiLine", multi_line).csv(paths).select("*", F.col("_metadata.file_path").alias("path"))
+    return reader.option("multiLine", multi_line).csv([_glob_free(p) for p in paths]).select("*", F.col("_metadata.file_path").alias("path"))
 
 
 @dataclass(frozen=True)
@@ -175,49 +243,47 @@ class Landed:
     audit: DataFrame
 
 
+AUDIT = "system_id string, source_period string, source_file string, source_sha256 string, rows_landed long, lines_repaired long, rows_too_long long, source_records long, kind string"
+
+
 def land(spark: SparkSession, files: list[SourceFile], maps: dict[str, EraMap]) -> Landed:
     """Landed trips and stations of the files, and their audit. Header by header, so each era is one scan.
 
-    The audit has a row for each file: records by an independent count of lines, rows landed, lines
-    repaired, rows too long for their header, kind and the checksum that pins the file. Files with a
-    quoted line break are read, and counted, record by record.
+    The audit has a row for each listed file, whether or not anything of it landed: records by an
+    independent count, rows landed, lines repaired, rows too long for their header, kind (`empty`:
+    not even a header) and the checksum that pins the file. Rows find their file by its path alone.
+    Files with a quoted line break are read record by record, and counted by their quotes.
     """
+    surveyed = survey(spark, files)
+    eras: dict[tuple, list[Surveyed]] = {}
+    for s in surveyed:
+        if s.path is not None:
+            eras.setdefault((s.file.system_id, s.header, s.spans), []).append(s)
     tables: dict[str, list[DataFrame]] = {k: [] for k in KINDS}
-    audits = []
-    for header, group in header_census(spark, files).items():
-        # One era of one system at a time, as systems have maps of their own.
-        for system in sorted({f.system_id for f in group}):
-            own = [f for f in group if f.system_id == system]
-            kind, targets = maps[system].targets(list(header), f"{system} {own[0].name}")
-            paths = [f.path for f in own]
-            counted = record_counts(spark, paths)
-            # A row for each file of an era.
-            open_paths = {r["path"] for r in counted.filter("open_quotes > 0").select("path").collect()}
-            names = spark.createDataFrame([(f.path, f.system_id, f.period, f.name, f.sha256) for f in own], "suffix string, system_id string, source_period string, source_file string, source_sha256 string")
-            for multi_line in (False, True):
-                some = [p for p in paths if any(x.endswith(p.removeprefix("file:")) for x in open_paths) is multi_line]
-                if not some:
-                    continue
-                rows = read_layout(spark, some, len(header), multi_line)
-                text, bad = repaired([f"c{i}" for i in range(len(header))])
-                here = F.broadcast(names)  # a row for each file
-                rows = rows.select(*[t.alias(c) for t, c in zip(text, targets, strict=True) if c], bad.alias("_bad"), F.col("too_long").isNotNull().alias("_long"), "path")
-                rows = rows.join(here, F.endswith("path", "suffix")).drop("suffix")
-                seen = rows.groupBy(*PROVENANCE, "source_sha256", "path").agg(F.count("*").alias("rows_landed"), F.count_if("_bad").alias("lines_repaired"), F.count_if("_long").alias("rows_too_long"))
-                told = counted.select("path", F.col("records").alias("source_records"))
-                seen = seen.join(told, "path", "left").withColumn("source_records", F.col("rows_landed") if multi_line else F.col("source_records"))
-                audits.append(seen.withColumn("kind", F.lit(kind)).drop("path"))
-                columns = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in KINDS[kind]]
-                tables[kind].append(rows.select(*PROVENANCE, *columns))
+    seen, kinds = [], {}
+    names = spark.createDataFrame([(s.path, s.file.system_id, s.file.period, s.file.name) for s in surveyed if s.path], "path string, system_id string, source_period string, source_file string")
+    for (system, header, spans), own in sorted(eras.items()):
+        kind, targets = maps[system].targets(list(header), f"{system} {own[0].file.name}")
+        kinds |= {s.path: kind for s in own}
+        rows = read_layout(spark, [s.file.path for s in own], len(header), spans)
+        text, bad = repaired([f"c{i}" for i in range(len(header))])
+        rows = rows.select(*[t.alias(c) for t, c in zip(text, targets, strict=True) if c], bad.alias("_bad"), F.col("too_long").isNotNull().alias("_long"), "path")
+        seen.append(rows.groupBy("path").agg(F.count("*").alias("rows_landed"), F.count_if("_bad").alias("lines_repaired"), F.count_if("_long").alias("rows_too_long")))
+        columns = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in KINDS[kind]]
+        tables[kind].append(rows.join(names, "path").select(*PROVENANCE, *columns))
     empty = lambda kind: spark.createDataFrame([], ", ".join(f"{c} string" for c in (*PROVENANCE, *KINDS[kind])))
-    audit_schema = "system_id string, source_period string, source_file string, source_sha256 string, rows_landed long, lines_repaired long, rows_too_long long, source_records long, kind string"
     made = {k: reduce(DataFrame.unionByName, parts) if parts else empty(k) for k, parts in tables.items()}
-    return Landed(made, reduce(DataFrame.unionByName, audits) if audits else spark.createDataFrame([], audit_schema))
+    listed = spark.createDataFrame([(s.path, s.file.system_id, s.file.period, s.file.name, s.file.sha256, s.records, kinds.get(s.path, "empty")) for s in surveyed], "path string, system_id string, source_period string, source_file string, source_sha256 string, by_lines long, kind string")
+    landed = reduce(DataFrame.unionByName, seen) if seen else spark.createDataFrame([], "path string, rows_landed long, lines_repaired long, rows_too_long long")
+    spanning = [s.file.path for s in surveyed if s.spans]
+    told = spanning_records(spark, spanning) if spanning else spark.createDataFrame([], "path string, records long")
+    audit = listed.join(landed, "path", "left").join(told, "path", "left").fillna(0, ["rows_landed", "lines_repaired", "rows_too_long"]).withColumn("source_records", F.coalesce("records", "by_lines"))
+    return Landed(made, audit.select([c.split()[0] for c in AUDIT.split(", ")]))
 
 
 def unaccounted(audit: DataFrame) -> DataFrame:
-    """Files whose landed rows differ from their records, or that hold rows their header has no columns for."""
-    return audit.filter("source_records <> rows_landed or rows_too_long > 0").withColumn("missing", F.col("source_records") - F.col("rows_landed"))
+    """Files whose landed rows differ from their records, that hold rows their header has no columns for, or nothing at all."""
+    return audit.filter("source_records <> rows_landed or rows_too_long > 0 or kind = 'empty'").withColumn("missing", F.col("source_records") - F.col("rows_landed"))
 
 
 def reconcile(audit: DataFrame) -> None:
@@ -227,17 +293,20 @@ def reconcile(audit: DataFrame) -> None:
         raise RowsUnaccounted("; ".join(f"{r.system_id} {r.source_period} {r.source_file}: {r.source_records} records, {r.rows_landed} landed, {r.rows_too_long} too long" for r in wrong))
 
 
-def reload(landed: Landed, warehouse: str, after: Callable[[Landed], None] | None = None) -> None:
-    """Replace the landed systems in the warehouse and no others, once every check has passed.
+def reload(landed: Landed, warehouse: str, after: Callable[[Landed], None] | None = None) -> str:
+    """Replace the landed systems in the warehouse and no others, all their tables at once, once every check has passed.
 
-    Checks come first, so a refused landing leaves all that was there; each table then overwrites the
-    partitions of its systems only.
+    Checks come first, so a refused landing leaves all that was there; the tables then become a new
+    version of their systems (see versions). Gives the version's name.
     """
-    reconcile(landed.audit)
-    if after is not None:
-        after(landed)
-    for name, df in (*((f"raw_{k}", t) for k, t in landed.tables.items()), ("raw_file_audit", landed.audit)):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("system_id").parquet(f"{warehouse}/{name}")
+    audit = landed.audit.persist()
+    try:
+        reconcile(audit)
+        if after is not None:
+            after(landed)
+        return versions.commit(warehouse, {**{f"raw_{k}": t for k, t in landed.tables.items()}, "raw_file_audit": audit})
+    finally:
+        audit.unpersist()
 
 
 def landing_summary(audit: DataFrame) -> DataFrame:

@@ -129,15 +129,22 @@ ERAS = landing.EraMap({"Trip Id": "trip_id", "Start date": "departure_raw", "Sta
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> landing.Landed:
-    """Events written as CSV files in two layouts, a period for each type, and landed again."""
+    """Events written as CSV files in two layouts, a period for each type, and landed again.
+
+    The first layout is not UTF-8, the second has notes that span lines; both lie in folders whose
+    names hold blanks and signs.
+    """
     e = read(spark, sf_dir, "events")
     id_, ts, bike, files = F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), (F.col("user_id") % 40).cast("string"), []
     top = scratch.new_path(spark, "published")
-    forms = ((F.col("event_type").isin("view", "click"), (id_, ts, F.concat(F.lit('Rue "'), bike, F.lit('", Parc')), bike)), (~F.col("event_type").isin("view", "click"), (bike, id_, ts, F.concat(F.lit(" "), bike, F.lit(".0")), F.lit("x"))))
-    for i, (these, cells) in enumerate(forms):
+    name = F.concat(F.when(F.col("event_id") % 10 == 3, F.lit('Allée "')).otherwise(F.lit('Rue "')), bike, F.lit('", Parc'))
+    note = F.when(F.col("event_id") % 20 == 5, F.lit('two\n\nlines, "quoted"')).otherwise(F.lit("x"))
+    forms = ((F.col("event_type").isin("view", "click"), (id_, ts, name, bike), "ISO-8859-1"), (~F.col("event_type").isin("view", "click"), (bike, id_, ts, F.concat(F.lit(" "), bike, F.lit(".0")), note), "UTF-8"))
+    for i, (these, cells, encoding) in enumerate(forms):
         rows = e.filter(these).select("event_type", *[c.alias(n) for c, n in zip(cells, LAYOUTS[i], strict=True)])
-        rows.write.partitionBy("event_type").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{top}/{i}")
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(f"{top}/{i}").select("path").collect()
+        folder = f"{top}/trips of layout #{i}, 100%25"
+        rows.write.partitionBy("event_type").option("header", True).option("escape", '"').option("encoding", encoding).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder).select("path").collect()
         files += [landing.SourceFile(r.path, "ev", r.path.split("event_type=")[1].split("/")[0], "made here") for r in found]
     return landing.land(spark, files, {"ev": ERAS})
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ridewell.operators import cleaning
 from ridewell.plans import publishing as P
 from ridewell.sources import landing as L
+from ridewell.sources import versions as V
 
 MAPS = {"van": L.EraMap({"Start": "departure_raw", "Station": "departure_station_name", "Id": "trip_id", "Remark": "", "Begin": "departure_raw"}, {"code": "station_key", "name": "station_name", "lat": "lat", "lon": "lon"})}
 
@@ -38,10 +40,67 @@ def test_layouts_encodings_and_audit(spark, tmp_path):
     L.reload(landed, str(tmp_path / "warehouse"))
     again = L.land(spark, files[:1], MAPS)
     L.reload(again, str(tmp_path / "warehouse"))
-    assert spark.read.parquet(str(tmp_path / "warehouse/raw_trips")).count() == 2
+    assert V.read(spark, str(tmp_path / "warehouse"), "raw_trips").count() == 2
     assert len(L.header_census(spark, files)) == 3
 
 
+def test_no_file_is_lost_for_its_name(spark, tmp_path):
+    """Blanks and signs in names, paths that end alike, files with a header only or nothing: each listed file has its audit row."""
+    names = ["trips 2018.csv", "100%.csv", "a%20b.csv", "x#1.csv", "[ab]{c}*?.csv", "1.csv", "y/1.csv", "deep/y/1.csv", "only header.csv", "nothing.csv", "spanning lines.csv", "a+b&c=d.csv"]
+    files = []
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        body = {"only header.csv": "Id,Start\n", "nothing.csv": "", "spanning lines.csv": f'Id,Start,Remark\n{i},2024,"a\n\n""b"", c"\n\n{i},2025,\n{i},2026,"x\ny"'}.get(name, f"Id,Start\n{i},2024\n{i},2025\n")
+        files.append(file(tmp_path, name, body, f"p{i}"))
+    landed = L.land(spark, files, MAPS)
+    rows = sorted((int(r.source_period[1:]), r.trip_id) for r in landed.tables["trips"].collect())
+    assert rows == sorted((i, str(i)) for i, n in enumerate(names) if "header" not in n and "nothing" not in n for _ in range(3 if "spanning" in n else 2))
+    audit = {r.source_period: (r.source_records, r.rows_landed, r.kind) for r in landed.audit.collect()}
+    assert audit == {f"p{i}": {"only header.csv": (0, 0, "trips"), "nothing.csv": (0, 0, "empty"), "spanning lines.csv": (3, 3, "trips")}.get(n, (2, 2, "trips")) for i, n in enumerate(names)}
+    assert [r.source_file for r in L.unaccounted(landed.audit).collect()] == ["nothing.csv"]
+    with pytest.raises(L.LandingRefused, match="twice"):
+        L.land(spark, [files[0], files[0]], MAPS)
+    plan = landed.tables["trips"]._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_records_are_counted_apart_from_rows(spark, tmp_path):
+    """A quoted field that never ends swallows rows when it is read; the count by quotes says so."""
+    files = [file(tmp_path, "open.csv", 'Id,Start,Remark\n1,2,"a\nb"\n3,4,"never\n5,6,x\n7,8,y\n')]
+    (row,) = L.land(spark, files, MAPS).audit.collect()
+    assert (row.source_records, row.rows_landed) in {(1, 2)} and L.unaccounted(L.land(spark, files, MAPS).audit).count() == 1
+
+
+def test_spanning_records_over_blocks(spark, tmp_path):
+    """Fields that span lines are counted right wherever a block begins."""
+    body = "Id,Start,Remark\n" + "".join(f'{i},2024,"line one of {i}\nline two, ""quoted""\n\nlast"\n' if i % 3 else f"{i},2024,plain\n" for i in range(400))
+    f = file(tmp_path, "long.csv", body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert L._lines(spark, [f.path]).select("block").distinct().count() > 10
+        assert [r.records for r in L.spanning_records(spark, [f.path]).collect()] == [400]
+        assert [(s.header, s.spans) for s in L.survey(spark, [f])] == [(("Id", "Start", "Remark"), True)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_versions_change_together(spark, tmp_path):
+    """A run that breaks off between tables leaves the old version whole; later columns lie beside earlier ones."""
+    home = str(tmp_path / "wh")
+    frame = lambda rows, more="": spark.createDataFrame(rows, "system_id string, n long" + more)
+    V.commit(home, {"t": frame([("1", 1), ("b/x", 2)]), "u": frame([("1", 10)])})
+    assert sorted(map(tuple, V.read(spark, home, "t").collect())) == [("1", 1), ("b/x", 2)]
+    broken = frame([("1", 7)]).withColumn("n", F.raise_error(F.lit("power cut")).cast("long"))
+    with pytest.raises(Exception, match="power cut"):
+        V.commit(home, {"t": frame([("1", 5)]), "u": broken})
+    assert sorted(map(tuple, V.read(spark, home, "t").collect())) == [("1", 1), ("b/x", 2)] and [r.n for r in V.read(spark, home, "u").collect()] == [10]
+    V.commit(home, {"t": frame([("1", 3, "new")], ", more string"), "u": frame([], "")})
+    assert sorted((r.system_id, r.n, r.more) for r in V.read(spark, home, "t").collect()) == [("1", 3, "new"), ("b/x", 2, None)]
+    assert V.read(spark, home, "u").count() == 0
+    assert len(V.prune(spark, home)) == 3 and sorted(r.n for r in V.read(spark, home, "t").collect()) == [2, 3]
+
+
 def test_what_landing_refuses(spark, tmp_path):
     with pytest.raises(L.UnknownColumns):
         L.land(spark, [file(tmp_path, "a.csv", "Id,Start,Mystery\n1,2,3\n")], MAPS)
