@@ -21,6 +21,7 @@ _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
+_JSON = json.JSONDecoder()
 
 
 def crc_ok(text: str) -> bool:
@@ -42,6 +43,32 @@ def header_ok(text: str) -> bool:
         return False
 
 
+class Heads:
+    """The starts within one run of token characters from which the run, to its end, is a web token's first part.
+
+    Starts with the same place modulo 4 decode to ends of the same bytes, so each of those is decoded
+    once, however long, and read from a start only as far as it is JSON. header_ok() has the last word.
+    """
+
+    def __init__(self, text: str, end: int):
+        self.text, self.end, self.decoded = text, end, {}
+
+    def ok(self, start: int) -> bool:
+        place = (self.end - start) % 4
+        if place == 1 or self.end - start < 11:
+            return False
+        if place not in self.decoded:
+            self.decoded[place] = start, base64.urlsafe_b64decode(self.text[start : self.end] + "=" * (-place % 4)).decode("latin-1").rstrip()
+        first, told = self.decoded[place]
+        if not told.endswith("}"):
+            return False
+        try:
+            _, at = _JSON.raw_decode(told, (start - first) // 4 * 3)
+        except (ValueError, RecursionError):
+            return False
+        return at == len(told) and header_ok(self.text[start : self.end])
+
+
 def always(_: str) -> bool:
     return True
 
@@ -55,11 +82,11 @@ RULES: list[tuple[str, tuple[str, ...], re.Pattern, Callable[[str], bool]]] = [
     ("gitlab", ("glpat-",), re.compile(r"glpat-[A-Za-z0-9_-]{20,}"), always),
     ("slack", ("xoxb-", "xoxp-", "xoxa-", "xoxr-"), re.compile(r"xox[abpr]-[0-9A-Za-z-]{20,}"), always),
     ("stripe", ("sk_live_", "rk_live_"), re.compile(r"[sr]k_live_[0-9A-Za-z]{16,}"), always),
-    ("jwt", ("eyj",), re.compile(r"eyJ"), header_ok),
+    ("jwt", ("eyj",), re.compile(r"eyJ"), always),
     ("pem", ("-----begin",), re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{32,}-----END [A-Z ]{0,20}PRIVATE KEY-----"), always),
 ]
-#: A web token's first part, to its end, and what follows it; a longer first part is none.
-_HEAD, _REST, HEAD_MOST = re.compile(r"[A-Za-z0-9_-]*"), re.compile(r"\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"), 2048
+#: A web token's first part, to its end, and what follows it.
+_HEAD, _REST = re.compile(r"[A-Za-z0-9_-]*"), re.compile(r"\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 KINDS = (*BASE, *(r[0] for r in RULES if r[0] not in BASE))
 _SHORT = {i: ord(chr(i).lower()) for i in range(65, 91)}
@@ -86,7 +113,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
         low = text.translate(_SHORT)
     found, over = [], [0] * len(RULES)
     hits = sorted((end - size + 1, rule) for end, (rule, size) in automaton().iter(low))
-    head_end, rest = -1, None
+    head_end, rest, heads = -1, None, None
     for start, rule in hits:
         kind, _, pattern, ok = RULES[rule]
         if start < over[rule] or not (m := pattern.match(text, start)):
@@ -95,8 +122,8 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
             # All hits within one first part share its end and what follows, so either is read once.
             if start >= head_end:
                 head_end = _HEAD.match(text, start).end()
-                rest = _REST.match(text, head_end)
-            if rest and 11 <= head_end - start <= HEAD_MOST and ok(text[start:head_end]):
+                rest, heads = _REST.match(text, head_end), Heads(text, head_end)
+            if rest and heads.ok(start):
                 over[rule] = rest.end()
                 found.append((kind, start, rest.end()))
             continue
