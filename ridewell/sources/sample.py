@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.sax.saxutils import escape, quoteattr
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import trips as O
-from . import landing, scratch
+from . import landing, scratch, workbooks
 
 #: First trusted year and the day that stands for today, both inside the data so that either bound marks rows.
 FIRST_TRUSTED, AS_OF = 1996, "2001-06-30"
@@ -149,6 +154,65 @@ def landed_events(spark: SparkSession, sf_dir: str) -> landing.Landed:
     return landing.land(spark, files, {"ev": ERAS})
 
 
+def _column(i: int) -> str:
+    return (_column(i // 26 - 1) if i >= 26 else "") + chr(65 + i % 26)
+
+
+def workbook(sheets: dict[str, list[list]]) -> bytes:
+    """A workbook with those rows: text as shared strings, every other one inline, numbers as numbers; null cells left out."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    shared: dict[str, int] = {}
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n, rows in enumerate(sheets.values()):
+            lines = []
+            for y, row in enumerate(rows):
+                cells = []
+                for x, v in enumerate(row):
+                    ref = f'r="{_column(x)}{y + 1}"'
+                    if isinstance(v, bool):
+                        cells.append(f'<c {ref} t="b"><v>{int(v)}</v></c>')
+                    elif isinstance(v, int | float):
+                        cells.append(f"<c {ref}><v>{v}</v></c>")
+                    elif v is not None and (x + y) % 2:
+                        cells.append(f'<c {ref} t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>')
+                    elif v is not None:
+                        cells.append(f'<c {ref} t="s"><v>{shared.setdefault(v, len(shared))}</v></c>')
+                lines.append(f'<row r="{y + 1}">{"".join(cells)}</row>')
+            z.writestr(f"xl/worksheets/sheet{n + 1}.xml", f'<?xml version="1.0" encoding="UTF-8"?><worksheet {ns}><sheetData>{"".join(lines)}</sheetData></worksheet>')
+        tabs = "".join(f'<sheet name={quoteattr(name)} sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i, name in enumerate(sheets))
+        z.writestr("xl/workbook.xml", f'<?xml version="1.0" encoding="UTF-8"?><workbook {ns} xmlns:r="{rel}"><sheets>{tabs}</sheets></workbook>')
+        ids = "".join(f'<Relationship Id="rId{i + 1}" Type="{rel}/worksheet" Target="worksheets/sheet{i + 1}.xml"/>' for i in range(len(sheets)))
+        z.writestr("xl/_rels/workbook.xml.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{ids}</Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<?xml version="1.0" encoding="UTF-8"?><sst {ns}>{"".join(f"<si><t xml:space={quoteattr("preserve")}>{escape(v)}</t></si>" for v in shared)}</sst>')
+    return out.getvalue()
+
+
+def _published(group: pa.Table) -> pa.Table:
+    """A workbook of the events of one type and some 100,000 ids: two quarters as two worksheets, the later in the other layout."""
+    path = f"books/{group['event_type'][0].as_py()} {group['part'][0].as_py()}.xlsx"
+    rows = group.sort_by("event_id").to_pylist()
+    late = [[r["bike"], r["id"], r["serial"], f" {r['bike']}.0", None if r["event_id"] % 3 else "x"] for r in rows if r["event_id"] % 2]
+    early = [[r["id"], r["serial"], f'Allée <{r["bike"]}> & "Parc"', r["bike"]] for r in rows if r["event_id"] % 2 == 0]
+    sheets = {"Q3 ": [list(LAYOUTS[0]), *early], "Q4": [[None], list(LAYOUTS[1]), [None, None], *late]}
+    return pa.table({"path": [path], "content": pa.array([workbook({k: v for k, v in sheets.items() if len(v) > 3 or k == "Q3 "})], pa.binary())})
+
+
+def landed_workbooks(spark: SparkSession, sf_dir: str) -> landing.Landed:
+    """Events published as workbooks, times as day numbers, and landed again."""
+    e = read(spark, sf_dir, "events")
+    serial = (F.unix_micros(F.date_trunc("minute", "ts").cast("timestamp")) / 86_400_000_000 + 25569).cast("double")
+    bike = (F.col("user_id") % 40).cast("string")
+    # At most so many rows as a worksheet may have; read twice, so written once.
+    rows = e.select("event_type", F.floor(F.col("event_id") / 100_000).alias("part"), "event_id", F.col("event_id").cast("string").alias("id"), serial.alias("serial"), bike.alias("bike"))
+    at = scratch.new_path(spark, "books")
+    rows.groupBy("event_type", "part").applyInArrow(_published, "path string, content binary").write.parquet(at)
+    books = spark.read.schema("path string, content binary").parquet(at)
+    files = [landing.SourceFile(r.path, "ev", r.path.split("/")[1].split(" ")[0], "made here") for r in books.select("path").collect()]
+    return workbooks.land(spark, books, files, {"ev": ERAS})
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed text of three systems from the events: every way to write times, keys, names and signals."""
     e = read(spark, sf_dir, "events")
