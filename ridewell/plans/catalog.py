@@ -389,6 +389,7 @@ QUERIES = {
     "bridge_via": lambda spark, sf: station_bridge(spark, sf).groupBy("via").agg(F.count("*").alias("entries")),
     "canonical_identity": identity,
     "landing_csv": lambda spark, sf: D.landed_events(spark, sf).tables["trips"].select("source_period", "trip_id", "departure_raw", "departure_station_key", "departure_station_name", "bike_id"),
+    "archive_members": lambda spark, sf: D.unpacked_events(spark, sf).groupBy("archive", "member").agg(F.sum(F.length("content")).alias("bytes"), F.sum(F.length("content") - F.length(F.replace(F.col("content").cast("string"), F.lit("\n"), F.lit("")))).alias("lines")),
     "landing_xlsx": lambda spark, sf: D.landed_workbooks(spark, sf).tables["trips"].select("source_period", "source_file", "trip_id", F.round(F.col("departure_raw").cast("double"), 6).alias("day_number"), "departure_station_key", "departure_station_name", "bike_id"),
     "landing_xlsx_audit": lambda spark, sf: D.landed_workbooks(spark, sf).audit.select("source_file", "kind", "source_records", "rows_landed", "rows_too_long"),
     "landing_reconciliation": lambda spark, sf: D.landed_events(spark, sf).audit.groupBy("source_period").agg(F.sum("source_records").alias("records"), F.sum("rows_landed").alias("rows_landed"), F.sum("lines_repaired").alias("lines_repaired"), F.sum("rows_too_long").alias("rows_too_long")),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import io
 import json
 import os
+import shutil
+import tempfile
 import zipfile
 from collections.abc import Iterator
+from html.parser import HTMLParser
 from pathlib import Path
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +19,6 @@ from pyspark.sql import functions as F
 #: How published labels spell months, and what archive members are.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 DATA, IGNORED = (".csv", ".xlsx"), (".txt", ".md", ".pdf", ".docx", ".html")
-ANCHOR = r'(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>'
 PINS = ("sha256", "bytes", "content_format")
 
 
@@ -24,12 +26,48 @@ class ArchiveRefused(Exception):
     """An archive member that nothing classifies, or a pin that content has left behind."""
 
 
+class _Links(HTMLParser):
+    """Addresses and labels of the links of a page, however its attributes are written; entities are decoded."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.found: list[dict[str, str]] = []
+        self.open: dict[str, str] | None = None
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "a":
+            href = dict(attrs).get("href")
+            self.open = {"href": href, "label": ""} if href else None
+            self.found += [self.open] if self.open else []
+        elif self.open:
+            self.open["label"] += " "
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "a":
+            self.open = None
+        elif self.open:
+            self.open["label"] += " "
+
+    def handle_data(self, data: str) -> None:
+        if self.open:
+            self.open["label"] += data
+
+
+def _links(pages: pd.Series) -> pd.Series:
+    out = []
+    for page in pages:
+        reader = _Links()
+        reader.feed(page or "")
+        reader.close()
+        out.append([{"href": x["href"].strip(), "label": " ".join(x["label"].split())} for x in reader.found])
+    return pd.Series(out, dtype=object)
+
+
 def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
-    """href and plain label of every anchor of the pages' html, with the pages' other columns."""
-    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(2)).alias("inner"))
-    rows = pages.select(*[c for c in pages.columns if c != html], F.explode(pairs).alias("_a")).select("*", "_a.href", "_a.inner").drop("_a")
-    label = F.replace(F.replace(F.regexp_replace("inner", "<[^>]+>", " "), F.lit("&amp;"), F.lit("&")), F.lit("&nbsp;"), F.lit(" "))
-    return rows.withColumn("label", F.trim(F.regexp_replace(label, r"\s+", " "))).drop("inner")
+    """href and plain label of every link of the pages' html, with the pages' other columns."""
+    read = F.pandas_udf(_links, "array<struct<href:string,label:string>>")
+    rows = pages.select(*[c for c in pages.columns if c != html], F.explode(read(html)).alias("_link"))
+    return rows.select("*", "_link.href", "_link.label").drop("_link")
 
 
 def label_period(label: Column) -> Column:
@@ -62,7 +100,10 @@ def catalog_resources(packages: DataFrame, payload: str = "payload") -> DataFram
 
 
 def by_period(links: DataFrame, period: Column) -> tuple[DataFrame, DataFrame]:
-    """(system_id, period, url) of links (system_id, url), and those with no period or a second address for one."""
+    """(system_id, period, url) of links (system_id, url), and those with no period or a second address for one.
+
+    Of several addresses the least is kept, as rows have no order; the others are told.
+    """
     rows = links.select("system_id", "url", period.alias("period"))
     first = rows.filter("period is not null").groupBy("system_id", "period").agg(F.min("url").alias("kept"))
     told = rows.join(first, ["system_id", "period"], "left")
@@ -133,38 +174,92 @@ def save_manifest(path: str | Path, manifest: dict) -> None:
     os.replace(part, path)
 
 
-def _members(name: str, content: bytes, depth: int) -> Iterator[tuple[str, bytes]]:
+def _kind(where: str, member: str) -> str | None:
+    """`data`, `archive` or nothing for a member to pass over; any other is refused."""
+    base = member.rsplit("/", 1)[-1].lower()
+    if not base or member.startswith("__MACOSX") or base.startswith((".", "~$")) or base.endswith(IGNORED):
+        return None
+    if base.endswith((".zip", *DATA)):
+        return "archive" if base.endswith(".zip") else "data"
+    raise ArchiveRefused(f"{where}: member {member} is neither data, an archive nor a document")
+
+
+def _pieces(where: str, file, depth: int) -> Iterator[tuple[str, int, bytes]]:
+    """(member, piece number, bytes) of every data member of a zip; nested archives are spooled, nothing is held whole."""
     if depth > 3:
-        raise ArchiveRefused(f"{name}: nested more than three deep")
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        raise ArchiveRefused(f"{where}: nested more than three deep")
+    with zipfile.ZipFile(file) as z:
         for info in z.infolist():
             base = info.filename.rsplit("/", 1)[-1]
-            low = base.lower()
-            if info.is_dir() or info.filename.startswith("__MACOSX") or base.startswith((".", "~$")) or low.endswith(IGNORED):
-                continue
-            if low.endswith(".zip"):
-                yield from _members(f"{name} -> {base}", z.read(info), depth + 1)
-            elif low.endswith(DATA):
-                yield base, z.read(info)
-            else:
-                raise ArchiveRefused(f"{name}: member {info.filename} is neither data, an archive nor a document")
+            kind = _kind(where, info.filename)
+            if kind == "archive":
+                with tempfile.TemporaryFile() as spool, z.open(info) as inner:  # within this task, and gone with it
+                    shutil.copyfileobj(inner, spool, PIECE)
+                    yield from _pieces(f"{where} -> {base}", spool, depth + 1)
+            elif kind == "data":
+                with z.open(info) as inner:
+                    yield base, 0, inner.read(PIECE)
+                    n = 0
+                    while piece := inner.read(PIECE):
+                        n += 1
+                        yield base, n, piece
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-            for base, data in _members(path, content, 0):
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([base]), pa.array([data], pa.binary())], ["archive", "member", "content"])
+        for i in range(batch.num_rows):
+            path, sha = batch["path"][i].as_py(), batch["sha256"][i].as_py()
+            for base, n, data in _pieces(path, pa.BufferReader(batch["content"][i].as_buffer()), 0):
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([sha]), pa.array([base]), pa.array([n], pa.int32()), pa.array([data], pa.binary())], ["archive", "sha256", "member", "piece", "content"])
+
+
+MEMBERS = "archive string, sha256 string, member string, piece int, content binary"
+#: Bytes of a member in one row.
+PIECE = 8 << 20
 
 
 def unpack(archives: DataFrame) -> DataFrame:
-    """archive, member and content of the data members of zip files (path, content), an archive a task, nested ones included.
+    """archive, sha256, member, piece and content of the data members of zip files (path, sha256, content), an archive a task, nested ones included.
 
-    A member that nothing classifies stops the job. Members of one archive with one name are refused by clashes().
+    Members come in pieces of 8 MB, so their size is not bounded by what a row may hold. A member that
+    nothing classifies stops the job; members of one archive with one name are refused by clashes().
     """
-    return archives.select("path", "content").mapInArrow(_unpacked, "archive string, member string, content binary")
+    return archives.select("path", "sha256", "content").mapInArrow(_unpacked, MEMBERS)
 
 
 def clashes(members: DataFrame) -> DataFrame:
     """Members of an archive that would come to lie under one name."""
-    return members.groupBy("archive", "member").agg(F.count("*").alias("n")).filter("n > 1")
+    return members.filter("piece = 0").groupBy("archive", "member").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def unpack_into(store: str, archives: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Members (as unpack() gives them) of the archives (path, sha256, content), each archive unpacked once for each checksum.
+
+    The store is a folder that all executors share; members lie there by their archive's checksum. What
+    is there is not read again, so a second run unpacks nothing and a moved pin unpacks one archive.
+    A checksum that is not its content's is refused before anything is kept. A run that breaks off
+    leaves no folder that counts: a checksum is entered in the store's list after its members. Gives
+    the members and the checksums that were unpacked now.
+    """
+    spark = archives.sparkSession
+    wanted = archives.select("path", "sha256")
+    new = wanted.select("sha256").distinct()
+    if _there(spark, f"{store}/done"):
+        new = new.join(spark.read.schema("sha256 string").parquet(f"{store}/done"), "sha256", "left_anti")
+    fresh = [r[0] for r in new.collect()]  # a row for each archive
+    if fresh:
+        # One of equal archives; their content is read here only.
+        mine = archives.filter(F.col("sha256").isin(fresh)).dropDuplicates(["sha256"])
+        told = F.when(F.sha2("content", 256) == F.col("sha256"), F.col("content")).otherwise(F.raise_error(F.concat(F.col("path"), F.lit(" is not what its checksum says"))).cast("binary"))
+        made = unpack(mine.withColumn("content", told))
+        made.drop("archive").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sha256").parquet(f"{store}/members")
+        spark.createDataFrame([(s,) for s in fresh], "sha256 string").write.mode("append").parquet(f"{store}/done")
+    if not _there(spark, f"{store}/members"):
+        return spark.createDataFrame([], MEMBERS), fresh
+    held = spark.read.schema("member string, piece int, content binary, sha256 string").parquet(f"{store}/members")
+    return held.join(wanted.withColumnRenamed("path", "archive"), "sha256").select([c.split()[0] for c in MEMBERS.split(", ")]), fresh
+
+
+def _there(spark, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
 from xml.sax.saxutils import escape, quoteattr
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import trips as O
-from . import landing, scratch, workbooks
+from . import archive, landing, scratch, workbooks
 
 #: First trusted year and the day that stands for today, both inside the data so that either bound marks rows.
 FIRST_TRUSTED, AS_OF = 1996, "2001-06-30"
@@ -213,6 +214,29 @@ def landed_workbooks(spark: SparkSession, sf_dir: str) -> landing.Landed:
     return workbooks.land(spark, books, files, {"ev": ERAS})
 
 
+def _zipped(group: pa.Table) -> pa.Table:
+    """An archive of the ids of one type and some 100,000 ids: two files, a third in an archive within, and a note."""
+    inner, outer = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(inner, "w", zipfile.ZIP_DEFLATED) as within, zipfile.ZipFile(outer, "w", zipfile.ZIP_DEFLATED) as z:
+        for k in range(3):
+            ids = [i for i in group["event_id"].to_pylist() if i % 3 == k]
+            (within if k == 2 else z).writestr(f"part{k}.csv", "".join(f"{i}\n" for i in sorted(ids)))
+        z.writestr("readme.txt", "a note")
+        within.close()
+        z.writestr("more.zip", inner.getvalue())
+    content = outer.getvalue()
+    return pa.table({"path": [f"{group['event_type'][0].as_py()} {group['part'][0].as_py()}"], "sha256": [hashlib.sha256(content).hexdigest()], "content": pa.array([content], pa.binary())})
+
+
+def unpacked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published as archives and unpacked into a store of this session."""
+    rows = read(spark, sf_dir, "events").select("event_type", F.floor(F.col("event_id") / 100_000).alias("part"), "event_id")
+    at = scratch.new_path(spark, "archives")
+    rows.groupBy("event_type", "part").applyInArrow(_zipped, "path string, sha256 string, content binary").write.parquet(at)
+    archives = spark.read.schema("path string, sha256 string, content binary").parquet(at)
+    return archive.unpack_into(scratch.new_path(spark, "store"), archives)[0]
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed text of three systems from the events: every way to write times, keys, names and signals."""
     e = read(spark, sf_dir, "events")

@@ -71,12 +71,44 @@ def zipped(**members):
     return out.getvalue()
 
 
-def test_archives_unpack_to_members(spark, tmp_path):
-    rows = [("one", bytearray(zipped(a__csv=b"1", readme__txt=b"t", inner__zip=zipped(b__csv=b"2", a__csv=b"3"))))]
-    members = A.unpack(spark.createDataFrame(rows, "path string, content binary"))
+def packed(spark, **archives):
+    rows = [(k, hashlib.sha256(v).hexdigest(), bytearray(v)) for k, v in archives.items()]
+    return spark.createDataFrame(rows, "path string, sha256 string, content binary")
+
+
+def test_archives_unpack_to_members(spark, tmp_path, monkeypatch):
+    one = zipped(a__csv=b"1", readme__txt=b"t", inner__zip=zipped(b__csv=b"2", a__csv=b"3"))
+    members = A.unpack(packed(spark, one=one))
     assert sorted((r.member, bytes(r.content)) for r in members.collect()) == [("a.csv", b"1"), ("a.csv", b"3"), ("b.csv", b"2")]
     assert [tuple(r) for r in A.clashes(members).collect()] == [("one", "a.csv", 2)]
     with pytest.raises(Exception, match="neither data"):
-        A.unpack(spark.createDataFrame([("x", bytearray(zipped(a__exe=b"1")))], "path string, content binary")).collect()
+        A.unpack(packed(spark, x=zipped(a__exe=b"1"))).collect()
+    with pytest.raises(A.ArchiveRefused, match="three deep"):
+        deep = zipped(a__csv=b"1")
+        for _ in range(5):
+            deep = zipped(in__zip=deep)
+        list(A._pieces("deep", io.BytesIO(deep), 0))
+    monkeypatch.setattr(A, "PIECE", 3)
+    assert list(A._pieces("p", io.BytesIO(zipped(a__csv=b"12345678", b__csv=b"")), 0)) == [("a.csv", 0, b"123"), ("a.csv", 1, b"456"), ("a.csv", 2, b"78"), ("b.csv", 0, b"")]
     A.save_manifest(tmp_path / "m.json", {"a": 1})
     assert A.load_manifest(tmp_path / "m.json") == {"a": 1} and A.load_manifest(tmp_path / "n.json") == {}
+
+
+def test_archives_are_unpacked_once_for_each_checksum(spark, tmp_path):
+    store, one, two, moved = str(tmp_path / "store"), zipped(a__csv=b"1"), zipped(b__csv=b"2", c__csv=b"3"), zipped(b__csv=b"4")
+    told = lambda members: sorted((r.archive, r.member, bytes(r.content)) for r in members.collect())
+    members, fresh = A.unpack_into(store, packed(spark, one=one, two=two, again=one))
+    assert len(fresh) == 2 and told(members) == [("again", "a.csv", b"1"), ("one", "a.csv", b"1"), ("two", "b.csv", b"2"), ("two", "c.csv", b"3")]
+    assert A.unpack_into(store, packed(spark, one=one, two=two))[1] == []
+    members, fresh = A.unpack_into(store, packed(spark, one=one, two=moved))
+    assert fresh == [hashlib.sha256(moved).hexdigest()] and told(members) == [("one", "a.csv", b"1"), ("two", "b.csv", b"4")]
+    wrong = spark.createDataFrame([("bad", "0" * 64, bytearray(one))], "path string, sha256 string, content binary")
+    with pytest.raises(Exception, match="not what its checksum says"):
+        A.unpack_into(store, wrong)
+    assert A.unpack_into(store, packed(spark, one=one))[1] == []
+
+
+def test_links_however_they_are_written(spark):
+    page = """<A HREF='https://d/1' target=_blank>Caf&eacute; <!-- x --> <i>May</i><br>2024</A><a name="x">none</a><a class=y href=https://d/2?a=1&amp;b=2>two</a><a href="https://d/3">open"""
+    rows = A.anchors(spark.createDataFrame([(1, page), (2, None), (3, "")], "id int, html string"))
+    assert [tuple(r) for r in rows.collect()] == [(1, "https://d/1", "Café May 2024"), (1, "https://d/2?a=1&b=2", "two"), (1, "https://d/3", "open")]
