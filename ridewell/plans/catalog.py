@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions import sql as SQ
 from ..operators import cleaning as C
 from ..operators import scenario as S
 from ..operators import trips as O
 from ..sources import archive as A
 from ..sources import landing as L
 from ..sources import sample as D
+from ..sources import scratch
 from . import metrics as M
+from . import reconciliation as R
 
 LONG_RIDE = 400 * 86400
 SAMPLE_FIRST_YEAR = 1997
@@ -201,6 +204,38 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("at", F.row_number().over(order)).withColumn("reason", O.drop_reason(F.col("at") > 1, F.col("system_id") == "sys-1"))
 
 
+def observed_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """The row funnel as the pass that writes the kept rows has seen it."""
+    at = scratch.new_path(spark, "kept")
+    told = R.write_counted(landed(spark, sf), f"{at}/rows", R.funnel_counts(), F.col("reason").isNull(), "system_id")
+    R.record(spark, at, "clean", told)
+    seen = R.metrics(spark, at).filter("stage = 'clean'").groupBy().pivot("metric", list(told)).agg(F.first("value"))
+    return seen.withColumn("residual", F.col("landed") - F.col("kept") - F.col("no_time") - F.col("no_station") - F.col("duplicate"))
+
+
+def reconciled_archive(orders: DataFrame) -> DataFrame:
+    """A file of orders for each system and month; of months 3, 5, 7, 9 and 11 the audit or the manifest says something else."""
+    spark, ts = orders.sparkSession, F.col("o_orderdate")
+    files = orders.groupBy(F.concat(F.lit("sys-"), (F.col("o_orderkey") % 3).cast("string")).alias("system_id"), F.date_format(ts, "yyyy-MM").alias("source_period")).agg(F.count("*").alias("n"))
+    month = F.substring("source_period", 6, 2)
+    sha = F.concat(F.lit("sha"), "source_period")
+    audit = files.select(
+        "system_id", "source_period", F.concat("source_period", F.lit(".csv")).alias("source_file"), F.when(month != "05", sha).alias("source_sha256"), (F.col("n") - F.when(month == "03", 1).otherwise(0)).alias("rows_landed"),
+        F.when(month != "07", F.lit(0).cast("long")).alias("lines_repaired"), F.col("n").alias("source_records"), F.lit("trips").alias("kind"),
+    )
+    pins = files.filter(month != "11").select("system_id", F.col("source_period").alias("period"), F.when(month == "09", F.concat(F.lit("new"), sha)).otherwise(sha).alias("sha256"))
+    later = files.filter(month == "01").select("system_id", F.concat(F.lit("9"), F.substring("source_period", 2, 6)).alias("period"), F.lit("x").alias("sha256"))
+    told = orders.agg(F.lit("extract").alias("stage"), F.lit("rows_landed").alias("metric"), F.count("*").alias("value"))
+    return R.disagreements(audit, pins.unionByName(later), told, [("sys-1", "1996-02")])
+
+
+def years_of_weather(orders: DataFrame) -> DataFrame:
+    system = F.concat(F.lit("sys-"), (F.col("o_custkey") % 3).cast("string")).alias("system_id")
+    rows = orders.filter((F.col("o_custkey") % 3 != 0) | (F.year("o_orderdate") != 1995)).select(system, F.date_format("o_orderdate", "yyyy-MM").alias("period")).distinct()
+    held = rows.select("system_id", F.substring("period", 1, 4).cast("int").alias("year")).filter("year % 2 = 0")
+    return R.weather_years(rows, held, 1998)
+
+
 def kept_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = landed(spark, sf).filter("system_id = 'sys-1'").drop("at")
     return O.keep_first(rows, ["system_id", "k1", "k2"], ["departure_ts", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]).select("system_id", "k1", "k2", "departure_ts", "l_partkey", "l_suppkey")
@@ -232,12 +267,17 @@ def local_times(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.convert_timezone(F.lit("UTC"), F.lit("America/Vancouver"), ts).alias("local_ts"), X.as_local(ts, F.lit("America/Toronto"), basis).alias("by_basis"), X.to_local(F.unix_millis(ts.cast("timestamp")), F.lit("America/Montreal")).alias("from_ms"))
 
 
-def stamps(events: DataFrame) -> DataFrame:
+def stamp_texts(events: DataFrame) -> DataFrame:
+    """Every event's time written in eight ways, and the date order of each."""
     k, f = F.col("k"), lambda p: F.date_format("ts", p)
     rows = events.select("event_id", "ts", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("k"))
     s = (F.when(k == 0, f("yyyy-MM-dd HH:mm:ss.SSSSSS")).when(k == 1, f("yyyy-MM-dd HH:mm")).when(k == 2, f("MM/dd/yyyy HH:mm:ss")).when(k == 3, f("M/d/yyyy H:mm")).when(k == 4, f("yyyy/MM/dd HH:mm:ss"))
          .when(k == 5, f("dd/MM/yyyy HH:mm")).when(k == 6, F.concat((30000 + F.col("event_id") % 20000).cast("string"), F.lit(".25"))).otherwise("no date"))
-    return rows.select("event_id", "k", X.parse_ts_ord(s, F.when(k == 5, "day").otherwise("month")).alias("parsed"))
+    return rows.select("event_id", "k", s.alias("s"), F.when(k == 5, "day").otherwise("month").alias("date_order"))
+
+
+def stamps(events: DataFrame) -> DataFrame:
+    return stamp_texts(events).select("event_id", "k", X.parse_ts_ord(F.col("s"), F.col("date_order")).alias("parsed"))
 
 
 def names(supplier: DataFrame) -> DataFrame:
@@ -247,6 +287,18 @@ def names(supplier: DataFrame) -> DataFrame:
     return supplier.select("s_suppkey", s.alias("s"))
 
 
+def written(text: str, **views: Callable[[SparkSession, str], DataFrame]):
+    """A query in SQL text over views and the SQL functions; views live as long as the session."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        SQ.register(spark)
+        for name, make in views.items():
+            make(spark, sf).createOrReplaceTempView(name)
+        return spark.sql(text)
+
+    return query
+
+
 def named(**columns: Callable[[Column], Column]):
     return _table("supplier", lambda t: names(t).select("s_suppkey", *[make(F.col("s")).alias(n) for n, make in columns.items()]))
 
@@ -411,6 +463,9 @@ QUERIES = {
     "monthly_pivot": _o(lambda f: M.trips_monthly(f).groupBy("month").pivot("system_id", [f"sys-{i}" for i in range(5)]).agg(F.sum("trips")).toDF("month", *[f"sys_{i}" for i in range(5)])),
     "month_gaps": _o(month_gaps),
     "far_fence": _o(far_fence),
+    "observed_funnel": observed_funnel,
+    "reconcile_archive": _table("orders", reconciled_archive),
+    "weather_years": _table("orders", years_of_weather),
     "row_funnel": lambda spark, sf: O.funnel(landed(spark, sf)),
     "dedupe_keep": kept_rows,
     "drop_counts": lambda spark, sf: landed(spark, sf).groupBy("system_id", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n")),
@@ -425,6 +480,12 @@ QUERIES = {
     "bridge_name": named(norm=X.bridge_name),
     "id_prefix": named(prefix=X.id_prefix, label=X.without_prefix),
     "display_label": named(label=X.display_label),
+    "sql_norm_key": written("SELECT s_suppkey, norm_key(s) AS norm FROM dock_names", dock_names=_table("supplier", names)),
+    "sql_bridge_name": written("SELECT s_suppkey, bridge_name(s) AS norm FROM dock_names", dock_names=_table("supplier", names)),
+    "sql_id_prefix": written("SELECT s_suppkey, id_prefix(s) AS prefix, without_prefix(s) AS label FROM dock_names", dock_names=_table("supplier", names)),
+    "sql_display_label": written("SELECT s_suppkey, display_label(s) AS label FROM dock_names", dock_names=_table("supplier", names)),
+    "sql_haversine": written("SELECT station_id, round(hav(lat, lon, 45.5, -73.6), 3) AS m FROM docks", docks=D.docks),
+    "sql_parse_timestamps": written("SELECT event_id, k, parse_ts_ord(s, date_order) AS parsed FROM stamp_texts", stamp_texts=_table("events", stamp_texts)),
     "haversine": lambda spark, sf: D.docks(spark, sf).select("station_id", F.round(X.hav(F.col("lat"), F.col("lon"), F.lit(45.5), F.lit(-73.6)), 3).alias("m")),
     "nearest_station": lambda spark, sf: O.nearest(D.places(spark, sf), D.docks(spark, sf)).withColumn("dist", F.round("dist", 3)),
     "scrape_links": _table("pages", links),
