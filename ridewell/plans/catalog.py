@@ -17,6 +17,8 @@ from ..sources import landing as L
 from ..sources import sample as D
 from ..sources import scratch
 from . import metrics as M
+from . import publish_job as J
+from . import publishing as P
 from . import reconciliation as R
 
 LONG_RIDE = 400 * 86400
@@ -204,6 +206,19 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("at", F.row_number().over(order)).withColumn("reason", O.drop_reason(F.col("at") > 1, F.col("system_id") == "sys-1"))
 
 
+def published(spark: SparkSession, sf: str) -> J.Model:
+    """The sample's model, to be published."""
+    fact = canonical(spark, sf, D.fact_o(spark, sf))
+    return J.Model(fact, dim_station(spark, sf), D.mapping(spark), S.fit(model_days(spark, sf)), SAMPLE_FIRST_YEAR, ("sys-0", "sys-2"))
+
+
+def publish_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """What would block publishing the sample: labels that no group claims, and orders whose lines did not land as its audit says."""
+    m = published(spark, sf)
+    audit = landing_audit(spark, sf).select(F.col("records").alias("source_records"), F.col("landed").alias("rows_landed"))
+    return P.invariants(m.fact, O.funnel(landed(spark, sf)), audit, M.net_flow(m.fact), M.unmapped(m.fact, m.labels), m.stations)
+
+
 def observed_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """The row funnel as the pass that writes the kept rows has seen it."""
     at = scratch.new_path(spark, "kept")
@@ -464,6 +479,8 @@ QUERIES = {
     "month_gaps": _o(month_gaps),
     "far_fence": _o(far_fence),
     "observed_funnel": observed_funnel,
+    "publish_invariants": publish_invariants,
+    "artifact_rows": lambda spark, sf: J.digests(J.tables(published(spark, sf))).select("artifact", "rows"),
     "reconcile_archive": _table("orders", reconciled_archive),
     "weather_years": _table("orders", years_of_weather),
     "row_funnel": lambda spark, sf: O.funnel(landed(spark, sf)),

@@ -147,6 +147,14 @@ SHAPES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "exclusions": (("system_id", "unterminated", "matched_by_name", "trips"), ("system_id",)),
     "forecast": (("system_id", "name", "value"), ("system_id", "name")),
 }
+#: What the columns hold, whichever artifact they are in.
+TYPES = {
+    **dict.fromkeys(("system_id", "month", "first_trip", "last_trip", "station_id", "station_name", "departure_station_id", "return_station_id", "departure_name", "return_name", "name"), "string"),
+    **dict.fromkeys(("trips", "identities", "flagged", "active_stations", "days_observed", "days_in_month", "month_of_year", "mean_trips", "months", "year", "stations", "ebike", "classified", "p25_s", "median_s", "p75_s", "n", "no_coordinates", "few_events", "lifetime_events", "net"), "long"),
+    **dict.fromkeys(("member", "casual", "other", "unlabelled", "rk", "days", "abs_net", "linked_trips", "era_first_year", "era_last_year", "intervals", "relocated", "out_of_order", "on_hour_grid", "unterminated", "matched_by_name"), "long"),
+    **dict.fromkeys(("lat", "lon", "value"), "double"), "is_active": "boolean", "trip_month": "date",
+}
+_WIDTHS = {"tinyint": "long", "smallint": "long", "int": "long", "bigint": "long", "float": "double"}
 RULES = {
     "whole_archive": "counts every row that the quality report counts",
     "exclude_incomplete": "a month with a few observed days would look like a fall in trips",
@@ -180,12 +188,14 @@ POLICIES = Policies(RULES, THRESHOLDS, {
 
 
 def shaped(name: str, rows: DataFrame, shapes: dict = SHAPES) -> DataFrame:
-    """rows with the artifact's columns, in its total order."""
+    """rows with the artifact's columns and types, in its total order."""
     if name not in shapes:
         raise ShapeBroken(f"{name}: no shape is declared")
     columns, order = shapes[name]
     if set(rows.columns) != set(columns):
         raise ShapeBroken(f"{name}: columns {sorted(rows.columns)} in place of {sorted(columns)}")
+    if wrong := {c: t for c, t in rows.dtypes if c in TYPES and _WIDTHS.get(t, t) != TYPES[c]}:
+        raise ShapeBroken(f"{name}: {wrong} in place of { {c: TYPES[c] for c in wrong} }")
     return rows.select(*columns).orderBy(*order)
 
 
