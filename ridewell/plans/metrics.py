@@ -40,7 +40,7 @@ def incomplete_months(fact: DataFrame) -> DataFrame:
 
 
 def complete(fact: DataFrame) -> DataFrame:
-    """Trusted trips of complete months."""
+    """Trusted trips of complete months. What is broadcast has at most a row for each month of each system."""
     return trusted(fact).join(F.broadcast(incomplete_months(fact).select("system_id", "trip_month")), ["system_id", "trip_month"], "left_anti")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: dict[tuple[str, str, str], str] = {}
+_made: dict[tuple[str, str, str, tuple], str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,9 +30,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _stamp(spark: SparkSession, folder: str) -> tuple:
+    """Names, lengths and times of what lies in a folder of tables; a table that is a folder counts by its own time."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in found))
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame], *by: str) -> DataFrame:
-    """The model table `name` over sf_dir, built and written by its first use in the session, partitioned by `by`."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The model table `name` over sf_dir, built and written by its first use in the session, partitioned by `by`.
+
+    It is built anew where the tables in sf_dir have another length or time than they had.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name, _stamp(spark, sf_dir))
     if key not in _made:
         df, path = build(spark, sf_dir), new_path(spark, name)
         df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
