@@ -29,8 +29,8 @@ def typed(raw: DataFrame, orders: DataFrame, zones: DataFrame) -> DataFrame:
     system_id, zone. Text timestamps are read in their file's order; epoch milliseconds become the
     system's local time.
     """
-    # Orders have a row for each file, zones one for each system.
-    rows = raw.join(F.broadcast(orders), ["system_id", "source_file"], "left").join(F.broadcast(zones), "system_id", "left")
+    # Orders have a row for each file and grow with the archive, so how they are joined is left to Spark; zones have one for each system.
+    rows = raw.join(orders, ["system_id", "source_file"], "left").join(F.broadcast(zones), "system_id", "left")
     order = F.coalesce("date_order", F.lit("month"))
     stamp = lambda end: F.coalesce(X.parse_ts_ord(F.col(f"{end}_raw"), order), X.to_local(F.col(f"{end}_ms").try_cast("long"), F.col("zone"))).alias(f"{end}_ts")
     return rows.select(

@@ -219,6 +219,12 @@ def publish_invariants(spark: SparkSession, sf: str) -> DataFrame:
     return P.invariants(m.fact, O.funnel(landed(spark, sf)), audit, M.net_flow(m.fact), M.unmapped(m.fact, m.labels), m.stations)
 
 
+def buyers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with orders: their number and whichever name, as all of a customer's rows bear the same."""
+    rows = D.read(spark, sf, "orders").select("o_custkey").join(D.read(spark, sf, "customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    return rows.groupBy("o_custkey").agg(F.any_value("c_name").alias("name"), F.count("*").alias("orders"))
+
+
 def observed_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """The row funnel as the pass that writes the kept rows has seen it."""
     at = scratch.new_path(spark, "kept")
@@ -478,6 +484,7 @@ QUERIES = {
     "monthly_pivot": _o(lambda f: M.trips_monthly(f).groupBy("month").pivot("system_id", [f"sys-{i}" for i in range(5)]).agg(F.sum("trips")).toDF("month", *[f"sys_{i}" for i in range(5)])),
     "month_gaps": _o(month_gaps),
     "far_fence": _o(far_fence),
+    "any_value": buyers,
     "observed_funnel": observed_funnel,
     "publish_invariants": publish_invariants,
     "artifact_rows": lambda spark, sf: J.digests(J.tables(published(spark, sf))).select("artifact", "rows"),
