@@ -22,8 +22,8 @@ def whole(c: str) -> Column:
     return F.bround(X.number(F.col(c))).try_cast("long")
 
 
-def typed(raw: DataFrame, orders: DataFrame, zones: DataFrame) -> DataFrame:
-    """Landed trips with typed columns.
+def typed(raw: DataFrame, orders: DataFrame, zones: DataFrame, *also: Column) -> DataFrame:
+    """Landed trips with typed columns, and `also` made of the landed ones.
 
     orders: system_id, source_file, date_order of the files that write slashed dates; zones:
     system_id, zone. Text timestamps are read in their file's order; epoch milliseconds become the
@@ -35,7 +35,7 @@ def typed(raw: DataFrame, orders: DataFrame, zones: DataFrame) -> DataFrame:
     stamp = lambda end: F.coalesce(X.parse_ts_ord(F.col(f"{end}_raw"), order), X.to_local(F.col(f"{end}_ms").try_cast("long"), F.col("zone"))).alias(f"{end}_ts")
     return rows.select(
         "system_id", "source_period", "source_file", stamp("departure"), stamp("return"), *[text(c).alias(c) for c in TEXTS],
-        *[X.number(F.col(c)).alias(n) for c, n in DECIMALS.items()], *[whole(c).alias(c) for c in WHOLES],
+        *[X.number(F.col(c)).alias(n) for c, n in DECIMALS.items()], *[whole(c).alias(c) for c in WHOLES], *also,
     )
 
 

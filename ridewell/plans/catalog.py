@@ -20,6 +20,7 @@ from . import metrics as M
 from . import publish_job as J
 from . import publishing as P
 from . import reconciliation as R
+from . import sample_run as SR
 
 LONG_RIDE = 400 * 86400
 SAMPLE_FIRST_YEAR = 1997
@@ -486,6 +487,8 @@ QUERIES = {
     "far_fence": _o(far_fence),
     "any_value": buyers,
     "observed_funnel": observed_funnel,
+    "run_metrics": SR.recorded,
+    "dim_system": SR.systems,
     "publish_invariants": publish_invariants,
     "artifact_rows": lambda spark, sf: J.digests(J.tables(published(spark, sf))).select("artifact", "rows"),
     "reconcile_archive": _table("orders", reconciled_archive),

@@ -53,10 +53,15 @@ def tables(m: Model) -> dict[str, DataFrame]:
 def publish(m: Model, folder: str | Path, funnel: DataFrame, audit: DataFrame, budget: int = P.BUDGET_BYTES) -> int:
     """Write all artifacts, or none where an invariant is violated, a shape broken or the budget exceeded. Gives the compressed size."""
     blocking(P.invariants(m.fact, funnel, audit, M.net_flow(m.fact), M.unmapped(m.fact, m.labels), m.stations))
+    return collected(m).write(folder, budget)
+
+
+def collected(m: Model) -> P.Artifacts:
+    """All artifacts as they would be written."""
     made = P.Artifacts()
     for name, rows in tables(m).items():
         made.add(name, rows)
-    return made.write(folder, budget)
+    return made
 
 
 def blocking(checked: DataFrame) -> None:
