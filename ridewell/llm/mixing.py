@@ -78,6 +78,17 @@ def _fill(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(quota=out)[["source", "weight", "quota"]]
 
 
+def least(wanted: DataFrame) -> DataFrame:
+    """Of each source's units of one weight the `quota` first by key and size.
+
+    First within each block, whose units are bounded by the words of a block: what a block does not
+    let through could not be among the first of all. So no task sorts all units of a common weight.
+    """
+    for group in (("source", "weight", "block"), ("source", "weight")):
+        wanted = wanted.withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy("key", "size"))).filter("at <= quota")
+    return wanted
+
+
 def _plan(units: DataFrame, weights: tuple[int, ...], num: int, den: int, cap: int, shard_words: int, seed: int) -> DataFrame:
     """What becomes of each block of each source: (s, b, source_size, target, shards, last, upto, fills).
 
@@ -110,7 +121,7 @@ def _plan(units: DataFrame, weights: tuple[int, ...], num: int, den: int, cap: i
     free = free.select("source", "block", "key", "size", "weight", "left_words")
     quota = free.groupBy("source", "weight", "left_words").agg(F.count("*").alias("units")).groupBy("source").applyInPandas(_fill, "source string, weight long, quota long").filter("quota > 0")
     quota = quota.select(F.col("source").alias("q_s"), F.col("weight").alias("q_w"), "quota")
-    chosen = free.join(quota, F.col("source").eqNullSafe(F.col("q_s")) & (F.col("weight") == F.col("q_w"))).withColumn("at", F.row_number().over(Window.partitionBy("source", "weight").orderBy("key", "size"))).filter("at <= quota")
+    chosen = least(free.join(quota, F.col("source").eqNullSafe(F.col("q_s")) & (F.col("weight") == F.col("q_w"))))
     fills = chosen.groupBy("source", "block").agg(F.collect_list(F.struct("key", "size")).alias("fills"))
     fills = spill(fills.select(F.col("source").alias("f_s"), F.col("block").alias("f_b"), "fills"))
 

@@ -534,3 +534,20 @@ def test_empty_tables(spark):
     assert mixing.placements(none, mixing.words_of(F.col("text"))).count() == 0
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), lambda v: v % 2 == 0).count() == 0
     assert chat.format_conversations(spark.createDataFrame([], f"conv_id long, turn long, role string, parts array<{chat.PART}>")).count() == 0
+
+
+def test_op7_least_units_of_a_common_weight(spark):
+    """Ranked by block first, the same units are chosen as by one ranking, and no task sorts a weight's units of all blocks unranked."""
+    rng = np.random.default_rng(3)
+    units = [("a" if rng.integers(2) else None, b, int(rng.integers(50)), int(rng.integers(3)), w, 1 + w) for w in (1, 2) for b in range(40) for _ in range(25)]
+    rows = spark.createDataFrame(sorted(set(units), key=repr), "source string, block long, key long, size long, weight long, quota long")
+    made = mixing.least(rows)
+    windows = re.findall(r"Window \[row_number\(\) windowspecdefinition\(([^)]*?)key#", made._jdf.queryExecution().executedPlan().toString())
+    want = {}
+    for u in rows.collect():
+        want.setdefault((u.source, u.weight), []).append((u.key, u.size))
+    got = {}
+    for u in made.collect():
+        got.setdefault((u.source, u.weight), []).append((u.key, u.size))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[: 1 + k[1]] for k, v in want.items()} and len(got) == 4
+    assert len(windows) == 2 and sum("block#" in w for w in windows) == 1
