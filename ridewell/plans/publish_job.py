@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import metrics as M
 from . import publishing as P
+from .dictionary import noted
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ def forecast(fits: DataFrame) -> DataFrame:
 
 
 def tables(m: Model) -> dict[str, DataFrame]:
-    """The fifteen artifacts as tables, each with its declared columns and types, in its declared order."""
+    """The fifteen artifacts as tables, each with its declared columns, types and notes, in its declared order."""
     net = M.net_flow(m.fact)
     labelled = M.membership(m.fact, m.labels)
     if m.unreliable is not None:
@@ -47,7 +48,7 @@ def tables(m: Model) -> dict[str, DataFrame]:
         "stations": M.stations(m.stations, net), "membership": labelled, "flows": M.top_pairs(m.fact, m.stations), "rebalancing": M.rebalancing(m.fact),
         "dwell": M.dwell(m.fact, M.bike_eras(M.bike_coverage(m.fact))), "exclusions": M.exclusions(m.fact), "forecast": forecast(m.fits),
     }
-    return {name: P.shaped(name, rows) for name, rows in made.items()}
+    return {name: noted(P.shaped(name, rows)) for name, rows in made.items()}
 
 
 def publish(m: Model, folder: str | Path, funnel: DataFrame, audit: DataFrame, budget: int = P.BUDGET_BYTES) -> int:

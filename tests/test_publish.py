@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridewell.plans import catalog
+from ridewell.plans import dictionary as D
 from ridewell.plans import publish_job as J
 from ridewell.plans import publishing as P
 
@@ -64,3 +65,22 @@ def test_digests_need_no_order(spark):
     for other in (rows.withColumn("s", F.when(F.col("n") != 7, F.col("s")).otherwise("")), rows.filter("n <> 3"), rows.dropDuplicates(), rows.withColumn("n", F.when(F.col("n") == 4, 5).otherwise(F.col("n"))), rows.withColumnRenamed("n", "m").withColumn("n", F.lit(1)).drop("m")):
         assert J.digest(other).first() != own
     assert tuple(J.digest(rows.limit(0)).first()) == (0, "0", "0")
+
+
+def test_the_dictionary_follows_schemas_and_policies(spark, model, tmp_path, monkeypatch):
+    """Notes come through the plans as metadata; a column without one, or a note on nothing, is refused."""
+    made = J.tables(model)
+    text = D.dictionary(made)
+    assert text == D.dictionary(dict(reversed(made.items()))) and text.count("\n## ") == 15 and "* min_events = 100: " in text and "| net | bigint | returns less departures |" in text
+    assert all(f"| {c} | " in text for columns, _ in P.SHAPES.values() for c in columns)
+    made["exclusions"].write.parquet(str(tmp_path / "x"))
+    assert spark.read.parquet(str(tmp_path / "x")).filter("trips > 0").schema["trips"].metadata == {"comment": D.NOTES["trips"]}
+    with pytest.raises(P.PolicyGap):
+        D.dictionary({n: t for n, t in made.items() if n != "dwell"})
+    with pytest.raises(D.Undocumented, match="no note"):
+        D.dictionary(made | {"meta": spark.createDataFrame([], ", ".join(f"{c} {kind}" for c, kind in made["meta"].dtypes))})
+    with pytest.raises(D.Undocumented, match="more"):
+        D.noted(made["meta"].withColumn("more", F.lit(1)))
+    monkeypatch.setitem(D.NOTES, "gone", "no artifact has it")
+    with pytest.raises(D.Undocumented, match="gone"):
+        D.dictionary(made)
