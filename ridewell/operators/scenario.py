@@ -46,6 +46,15 @@ def envelope(days: DataFrame) -> DataFrame:
     return days.filter("reason is null").groupBy("system_id", F.month("day").cast("long").alias("month")).agg(F.count("*").alias("days"), F.round(F.min(t), 6).alias("low"), F.round(F.max(t), 6).alias("high"), F.round(F.percentile(t, 0.5), 6).alias("middle"))
 
 
+def month_blocks(days: DataFrame) -> DataFrame:
+    """Per system and month of the year: used days, the median of each input to one place, and days and mean trips of the reference year (0 and null without one)."""
+    # The reference year is one row.
+    rows = days.filter("reason is null").crossJoin(F.broadcast(reference_year(days)))
+    at = F.coalesce(F.year("day") == F.col("reference_year"), F.lit(False))
+    middles = [F.round(F.percentile(c, 0.5), 1).alias(f"{c}_median") for c in WEATHER]
+    return rows.groupBy("system_id", F.month("day").cast("long").alias("month")).agg(F.count("*").alias("days"), *middles, F.count_if(at).alias("reference_days"), F.avg(F.when(at, F.col("trips"))).alias("reference_mean"))
+
+
 def ranges(days: DataFrame) -> DataFrame:
     """What the model has seen of each input in each month of the year: system_id, month, <input>_min and <input>_max."""
     sides = [f(c).alias(f"{c}_{n}") for c in WEATHER for f, n in ((F.min, "min"), (F.max, "max"))]

@@ -440,6 +440,7 @@ QUERIES = {
     "hourly_flow": _r(lambda f: M.hourly(f, 2009)),
     "hourly_basis": _r(lambda f: M.hourly_basis(f, 2009)),
     "hour_extremes": _r(hour_extremes),
+    "hourly_net": _r(lambda f: M.hourly_net(M.hourly(f, 2009), M.hourly_basis(f, 2009))),
     "rebalancing_yearly": _r(M.rebalancing),
     "full_years": _o(lambda f: M.full_years(M.rebalancing(f), f)),
     "headline_year": _o(lambda f: M.headline_year(M.full_years(M.rebalancing(f), f))),
@@ -447,6 +448,7 @@ QUERIES = {
     "bike_coverage": _r(M.bike_coverage),
     "bike_eras": _o(lambda f: M.bike_eras(M.bike_coverage(f))),
     "dwell_chain": _r(lambda f: M.dwell(f, M.bike_eras(M.bike_coverage(f)))),
+    "dwell_totals": _r(lambda f: M.dwell_totals(M.dwell(f, M.bike_eras(M.bike_coverage(f))))),
     "dwell_withheld": _o(dwell_withheld),
     "membership_mix": _mapped(M.membership),
     "member_share": _mapped(lambda f, d: M.membership(f, d).select("system_id", "month", F.when(F.col("member") + F.col("casual") > 0, F.col("member") / (F.col("member") + F.col("casual"))).alias("share"))),
@@ -526,6 +528,7 @@ QUERIES = {
     "model_days": _model(lambda d: d.groupBy("system_id", F.coalesce("reason", F.lit("used")).alias("reason")).agg(F.count("*").alias("days"), F.sum("trips").alias("trips"))),
     "reference_year": _model(S.reference_year),
     "weather_envelope": _model(S.envelope),
+    "month_blocks": _model(S.month_blocks),
     "trend_by_temperature": _model(trend),
     "ols_fit": _model(S.fit),
     "scenario_predictions": _model(predictions),

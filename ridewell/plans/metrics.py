@@ -121,6 +121,23 @@ def hourly_basis(fact: DataFrame, first_year: int) -> DataFrame:
     return rows.groupBy("system_id").agg(F.count("*").alias("linked_trips"), F.countDistinct("date_key").alias("days"), F.count_if(X.on_hour(F.col("departure_ts")) & X.on_hour(F.col("return_ts"))).alias("on_hour_grid"))
 
 
+def hourly_net(hours: DataFrame, basis: DataFrame) -> DataFrame:
+    """What each hour gains or loses: returns less departures, in per cent of the linked trips and for each day, from hourly() and hourly_basis()."""
+    net = F.col("returns") - F.col("departures")
+    # Both have a row for each system or hour of one.
+    return hours.join(basis, "system_id").select("system_id", "hour", (100 * net / F.col("linked_trips")).alias("share"), (net / F.col("days")).alias("per_day"), (F.col("on_hour_grid") / F.col("linked_trips")).alias("grid"))
+
+
+def dwell_totals(yearly: DataFrame) -> DataFrame:
+    """Per system, from dwell(): its eras, the latest year of twelve months (the latest at all if none has), and the shares of whole hours and of moved bikes."""
+    latest = F.coalesce(F.max(F.when(F.col("months") == 12, F.col("year"))), F.max("year"))
+    stood, moved = F.sum("intervals"), F.sum("relocated")
+    return yearly.groupBy("system_id").agg(
+        F.countDistinct("era_first_year", "era_last_year").alias("eras"), latest.alias("latest_full_year"),
+        F.try_divide(F.sum("on_hour_grid"), stood).alias("grid"), F.try_divide(moved, stood + moved).alias("relocated"),
+    )
+
+
 def rebalancing(fact: DataFrame) -> DataFrame:
     """Yearly sum of the stations' absolute daily net flows, over days with a departure."""
     rows = complete(fact).filter("departure_station_id is not null and return_station_id is not null and return_ts is not null")
