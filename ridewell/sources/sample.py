@@ -32,22 +32,27 @@ def trips_o(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_type")
     # 25 nations at any scale.
-    who = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
-    rows = line.join(order, line.l_orderkey == order.o_orderkey).join(who, F.col("o_custkey") == F.col("c_custkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    who = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_regionkey")
+    # Orders meet customers by themselves, and lines carry keys, a time and two flags: they are shuffled twice, before they grow wide.
+    placed = order.join(who, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderdate", "o_orderpriority", "n_regionkey")
+    kinds = part.select("p_partkey", F.when(F.col("p_type") == "ECONOMY", True).when(F.col("p_type") != "PROMO", False).alias("is_ebike"))
+    ended = F.when(~((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")), F.col("l_shipdate")).alias("return_ts")
+    line = line.select("l_orderkey", "l_partkey", "l_suppkey", (F.col("l_linenumber") != 7).alias("labelled"), ended)
+    line = line.join(kinds, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+    rows = line.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     system = F.concat(F.lit("sys-"), F.col("n_regionkey").cast("string"))
     named = F.col("l_suppkey") % 10 == 0
     supplier, dock = F.col("l_suppkey").cast("string"), (F.col("l_partkey") % 100).cast("string")
     back = F.col("l_partkey") % 13 != 0
     return rows.select(
-        system.alias("system_id"), F.col("o_orderdate").alias("departure_ts"),
-        F.when(~((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")), F.col("l_shipdate")).alias("return_ts"),
+        system.alias("system_id"), F.col("o_orderdate").alias("departure_ts"), "return_ts",
         F.when(named, F.concat(system, F.lit(":name:station "), supplier)).otherwise(F.concat(system, F.lit(":s"), supplier)).alias("departure_station_id"),
         F.when(back, F.concat(system, F.lit(":s"), dock)).alias("return_station_id"),
         F.when(named, "name").otherwise("id").alias("departure_station_match"),
         F.concat(F.lit("Station "), supplier).alias("departure_label"), F.when(back, F.concat(F.lit("Station "), dock)).alias("return_label"),
-        F.when(F.col("l_linenumber") != 7, F.col("o_orderpriority")).alias("membership_raw"),
+        F.when(F.col("labelled"), F.col("o_orderpriority")).alias("membership_raw"),
         F.when(~((F.year("o_orderdate") == 1998) & (F.col("l_partkey") % 3 == 0)), F.col("l_partkey").cast("string")).alias("bike_id"),
-        F.when(F.col("p_type") == "ECONOMY", True).when(F.col("p_type") != "PROMO", False).alias("is_ebike"),
+        "is_ebike",
         F.lit(None).cast("long").alias("duration_s"),
     )
 

@@ -8,6 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Files that a task keeps open while it writes a table by the values of a column; a task that meets more values sorts its rows by them.
+OPEN_FILES = 16
+
 _made: dict[tuple[str, str, str, tuple], str] = {}
 
 
@@ -37,6 +40,17 @@ def _stamp(spark: SparkSession, folder: str) -> tuple:
     return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in found))
 
 
+def write(df: DataFrame, path: str, *by: str) -> None:
+    """Write a new table partitioned by `by`; where it has few values, rows go straight to their files, and no task sorts whole rows."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, max(int(before), OPEN_FILES))
+    try:
+        df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(key, before)
+
+
 def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame], *by: str) -> DataFrame:
     """The model table `name` over sf_dir, built and written by its first use in the session, partitioned by `by`.
 
@@ -45,6 +59,6 @@ def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSess
     key = (spark.sparkContext.applicationId, sf_dir, name, _stamp(spark, sf_dir))
     if key not in _made:
         df, path = build(spark, sf_dir), new_path(spark, name)
-        df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+        write(df, path, *by)
         _made[key] = path
     return spark.read.parquet(_made[key])
