@@ -153,20 +153,25 @@ def bridge(gbfs: DataFrame, observed: DataFrame, orphans: DataFrame, prefix: str
 
 
 def usage(trips: DataFrame) -> DataFrame:
-    """Both ends of each trip: system_id, station_id, label, ts."""
-    ends = [trips.filter(F.col(f"{e}_station_id").isNotNull()).select("system_id", F.col(f"{e}_station_id").alias("station_id"), X.display_label(F.col(f"{e}_label")).alias("label"), F.col(f"{e}_ts").alias("ts")) for e in ("departure", "return")]
-    return ends[0].unionByName(ends[1])
+    """Use of stations at both ends of the trips: system_id, station_id, label, events, first_ts, last_ts.
+
+    A station has a row for each label and end. Counts and times have a fixed width, so they are
+    added up in hash maps before the shuffle; the latest label is then told from these rows, and no
+    trip is sorted for it.
+    """
+    ends = [trips.filter(F.col(f"{e}_station_id").isNotNull()).groupBy("system_id", F.col(f"{e}_station_id").alias("station_id"), F.col(f"{e}_label").alias("label")).agg(F.count("*").alias("events"), F.min(f"{e}_ts").alias("first_ts"), F.max(f"{e}_ts").alias("last_ts")) for e in ("departure", "return")]
+    return ends[0].unionByName(ends[1]).withColumn("label", X.display_label(F.col("label")))
 
 
-def latest_label(ts: str = "ts") -> Column:
+def latest_label(ts: str = "last_ts") -> Column:
     return F.max_by("label", F.when(F.col("label").isNotNull() & F.col(ts).isNotNull(), F.struct(ts, "label")))
 
 
-def station_identity(trips: DataFrame, bridged: DataFrame) -> DataFrame:
-    """system_id, source_id and canonical_id: a name-only id joins the busiest station that bears its name."""
-    step = usage(trips).join(bridged.select(F.col("era_id").alias("station_id"), "canonical_id"), "station_id", "left")
+def station_identity(used: DataFrame, bridged: DataFrame) -> DataFrame:
+    """system_id, source_id and canonical_id of the stations of usage(): a name-only id joins the busiest station that bears its name."""
+    step = used.join(bridged.select(F.col("era_id").alias("station_id"), "canonical_id"), "station_id", "left")
     step = step.withColumn("mid", F.coalesce("canonical_id", "station_id"))
-    mids = step.groupBy("system_id", "mid").agg(latest_label().alias("name"), F.count("*").alias("events")).withColumn("key", F.lower(F.trim("name")))
+    mids = step.groupBy("system_id", "mid").agg(latest_label().alias("name"), F.sum("events").alias("events")).withColumn("key", F.lower(F.trim("name")))
     named = F.col("mid").like("%:name:%")
     best = mids.filter(~named & F.col("name").isNotNull()).groupBy("system_id", "key").agg(F.max_by("mid", F.struct("events", "mid")).alias("best"))
     out = mids.join(best, ["system_id", "key"], "left").select("system_id", "mid", F.when(named, F.coalesce("best", "mid")).otherwise(F.col("mid")).alias("canonical_id"))
@@ -187,20 +192,21 @@ def dim_membership(trips: DataFrame, mapping: DataFrame) -> DataFrame:
     return labels.join(mapping, ["system_id", "membership_raw"], "left").select("system_id", "membership_raw", "membership_group", F.count("*").over(Window.partitionBy("system_id")).alias("labels_in_system"))
 
 
-def dim_station(trips: DataFrame, identity: DataFrame, listed: DataFrame, gbfs: DataFrame) -> DataFrame:
-    """Canonical stations: span and number of events, name and position from one source, active in their system's last six months."""
-    uses = usage(trips).join(identity.withColumnRenamed("source_id", "station_id"), ["system_id", "station_id"])
-    seen = uses.groupBy("system_id", F.col("canonical_id").alias("station_id")).agg(latest_label().alias("used_name"), F.min("ts").cast("date").alias("first_seen"), F.max("ts").cast("date").alias("last_seen"), F.count("*").alias("lifetime_events"))
+def dim_station(used: DataFrame, identity: DataFrame, listed: DataFrame, gbfs: DataFrame) -> DataFrame:
+    """Canonical stations of usage(): span and number of events, name and position from one source, active in their system's last six months."""
+    uses = used.join(identity.withColumnRenamed("source_id", "station_id"), ["system_id", "station_id"])
+    seen = uses.groupBy("system_id", F.col("canonical_id").alias("station_id")).agg(latest_label().alias("used_name"), F.min("first_ts").cast("date").alias("first_seen"), F.max("last_ts").cast("date").alias("last_seen"), F.sum("events").alias("lifetime_events"))
+    # A row for each system, so that no task holds all stations of one.
+    ends = uses.groupBy("system_id").agg(F.max("last_ts").cast("date").alias("_last"))
     live = gbfs.select("system_id", F.col("station_id").alias("_key"), F.col("name").alias("g_name"), F.col("lat").alias("g_lat"), F.col("lon").alias("g_lon"))
     s = listed.select("system_id", "station_id", F.col("station_name").alias("s_name"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
-    rows = seen.withColumn("_key", F.regexp_replace("station_id", r"^[a-z-]+:s?", "")).join(s, ["system_id", "station_id"], "left").join(live, ["system_id", "_key"], "left")
+    rows = seen.withColumn("_key", F.regexp_replace("station_id", r"^[a-z-]+:s?", "")).join(s, ["system_id", "station_id"], "left").join(live, ["system_id", "_key"], "left").join(F.broadcast(ends), "system_id")
     lat, lon = F.coalesce("g_lat", "s_lat"), F.coalesce("g_lon", "s_lon")
     fits, live_fits = X.placed(lat, lon), F.coalesce(X.placed(F.col("g_lat"), F.col("g_lon")), F.lit(False))
-    last = F.max("last_seen").over(Window.partitionBy("system_id"))
     return rows.select(
         "system_id", "station_id", "first_seen", "last_seen", "lifetime_events",
         F.when(live_fits, F.coalesce("g_name", "used_name", "s_name")).otherwise(F.coalesce("used_name", "s_name")).alias("station_name"),
-        F.when(fits, lat).alias("lat"), F.when(fits, lon).alias("lon"), (F.col("last_seen") >= F.add_months(last, -6)).alias("is_active"),
+        F.when(fits, lat).alias("lat"), F.when(fits, lon).alias("lon"), (F.col("last_seen") >= F.add_months("_last", -6)).alias("is_active"),
     )
 
 

@@ -90,12 +90,16 @@ def label_usage(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return fact.filter("membership_raw is not null").join(dim, ["system_id", "membership_raw"], "left").groupBy("system_id", "membership_raw", "membership_group").agg(F.count("*").alias("n"))
 
 
+def usage(spark: SparkSession, sf: str) -> DataFrame:
+    return scratch.once(spark, sf, "usage", lambda s, d: O.usage(D.fact_o(s, d)))
+
+
 def identity(spark: SparkSession, sf: str) -> DataFrame:
-    return O.station_identity(D.fact_o(spark, sf), D.bridged(spark, sf))
+    return scratch.once(spark, sf, "identity", lambda s, d: O.station_identity(usage(s, d), D.bridged(s, d)))
 
 
 def dim_station(spark: SparkSession, sf: str) -> DataFrame:
-    return O.dim_station(D.fact_o(spark, sf), identity(spark, sf), O.snapshots(D.listed(spark, sf)), D.live(spark, sf))
+    return scratch.once(spark, sf, "dim_station", lambda s, d: O.dim_station(usage(s, d), identity(s, d), O.snapshots(D.listed(s, d)), D.live(s, d)))
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,9 +156,8 @@ def shared_pairs(events: DataFrame) -> DataFrame:
 
 
 def top_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    fact = D.fact_o(spark, sf)
-    names = O.usage(fact).groupBy("system_id", "station_id").agg(O.latest_label().alias("station_name"))
-    return M.top_pairs(fact, names)
+    names = usage(spark, sf).groupBy("system_id", "station_id").agg(O.latest_label().alias("station_name"))
+    return M.top_pairs(D.fact_o(spark, sf), names)
 
 
 def canonical_fact(spark: SparkSession, sf: str) -> DataFrame:

@@ -174,9 +174,10 @@ def model(spark: SparkSession, s: Settings, x: Inputs) -> None:
     listed = O.snapshots(C.clean_stations(_stations(spark, s)))
     docks = L.station_feed(spark, x.feeds) if x.feeds else spark.createDataFrame([], "system_id string, station_id string, short_name string, name string, lat double, lon double")
     bridged = written("station_bridge", _bridges(trips, listed, docks, x))
-    identity = written("station_identity", O.station_identity(trips, bridged))
+    used = written("station_usage", O.usage(trips))
+    identity = written("station_identity", O.station_identity(used, bridged))
     told = R.write_counted(O.fact_trips(trips, identity), f"{at}/fact_trips", {"fact_trips": F.count("*"), "without_station": F.count_if(F.col("departure_station_id").isNull())}, None, "system_id")
-    stations = written("dim_station", O.dim_station(trips, identity, listed, docks))
+    stations = written("dim_station", O.dim_station(used, identity, listed, docks))
     told |= stations.agg(F.count("*").alias("dim_station"), F.count("lat").alias("dim_station_with_coords")).first().asDict()
     told["dim_membership"] = written("dim_membership", O.dim_membership(trips, x.labels)).count()
     written("dim_date", O.dim_date(M.trusted(trips)))

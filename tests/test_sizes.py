@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
+from ridewell.operators import trips as O
+from ridewell.plans import catalog as C
 from ridewell.sources import sample as D
 from ridewell.sources import scratch
 
@@ -45,3 +50,21 @@ def test_model_tables_are_written_without_a_sort(spark, monkeypatch):
     made = scratch.once(spark, SF, "unsorted", lambda s, d: D.read(s, d, "nation").selectExpr("n_regionkey % 2 AS k", "n_nationkey"), "k")
     assert seen and seen[0] >= 5 and spark.conf.get(key) == before
     assert made.count() == 25 and {r["k"] for r in made.select("k").distinct().collect()} == {0, 1}
+
+
+def test_usage_is_added_up_without_sorting_trips(spark):
+    """Labels by latest time, ties to the greater one; NULL texts, lacking labels and times count as events only."""
+    cols = "system_id string, departure_station_id string, departure_label string, departure_ts timestamp_ntz, return_station_id string, return_label string, return_ts timestamp_ntz"
+    day = lambda d: datetime(2020, 1, d)
+    trips = spark.createDataFrame(
+        [("s", "a", "old", day(1), "b", "B", day(2)), ("s", "a", "new", day(5), "a", "newer", day(5)), ("s", "a", "NULL", day(9), None, None, None), ("s", "b", None, day(7), "a", "lost", None), ("t", "a", None, None, "a", None, day(3))], cols,
+    )
+    used = O.usage(trips)
+    assert not any(p.nodeName().startswith("Sort") for p in planned(used))
+    told = used.groupBy("system_id", "station_id").agg(O.latest_label().alias("label"), F.sum("events").alias("n"), F.min("first_ts").alias("a"), F.max("last_ts").alias("b"))
+    assert {tuple(r) for r in told.collect()} == {("s", "a", "newer", 5, day(1), day(9)), ("s", "b", "B", 2, day(2), day(7)), ("t", "a", None, 2, day(3), day(3))}
+
+
+def test_no_task_holds_all_stations_of_a_system(spark):
+    seen = {p.nodeName() for p in planned(O.dim_station(C.usage(spark, SF), C.identity(spark, SF), O.snapshots(D.listed(spark, SF)), D.live(spark, SF)))}
+    assert "Window" not in seen
