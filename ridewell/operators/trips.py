@@ -211,7 +211,8 @@ def dim_station(used: DataFrame, identity: DataFrame, listed: DataFrame, gbfs: D
 
 
 def fact_trips(trips: DataFrame, identity: DataFrame) -> DataFrame:
-    """Trips with canonical stations at both ends."""
+    """Trips with canonical stations at both ends. Only ids that change are joined; they are few beside the stations, and Spark sees how few."""
+    identity = identity.filter("source_id <> canonical_id")
     for end in ("departure", "return"):
         ids = identity.select("system_id", F.col("source_id").alias(f"{end}_station_id"), F.col("canonical_id").alias(f"_{end}"))
         trips = trips.join(ids, ["system_id", f"{end}_station_id"], "left").withColumn(f"{end}_station_id", F.coalesce(f"_{end}", f"{end}_station_id")).drop(f"_{end}")
