@@ -179,8 +179,10 @@ def model(spark: SparkSession, s: Settings, x: Inputs) -> None:
     told = R.write_counted(O.fact_trips(trips, identity), f"{at}/fact_trips", {"fact_trips": F.count("*"), "without_station": F.count_if(F.col("departure_station_id").isNull())}, None, "system_id")
     stations = written("dim_station", O.dim_station(used, identity, listed, docks))
     told |= stations.agg(F.count("*").alias("dim_station"), F.count("lat").alias("dim_station_with_coords")).first().asDict()
-    told["dim_membership"] = written("dim_membership", O.dim_membership(trips, x.labels)).count()
-    written("dim_date", O.dim_date(M.trusted(trips)))
+    # Labels and days are those of the written fact, so texts are not read for stations once more.
+    fact = spark.read.schema(trips.schema).parquet(f"{at}/fact_trips")
+    told["dim_membership"] = written("dim_membership", O.dim_membership(fact, x.labels)).count()
+    written("dim_date", O.dim_date(M.trusted(fact)))
     told["dim_system"] = written("dim_system", dim_system(spark, x.registry)).count()
     told["station_bridge"] = bridged.count()
     R.record(spark, s.warehouse, "model", told)

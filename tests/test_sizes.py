@@ -79,3 +79,13 @@ def test_canonical_stations_are_given_without_a_shuffle_of_trips(spark):
     full = {(r["system_id"], r["source_id"]): r["canonical_id"] for r in C.identity(spark, SF).collect()}
     want = sorted(str((r[0], full.get((r[0], r[1])), full.get((r[0], r[2])))) for r in fact.select(*ends).collect())
     assert sorted(str(tuple(r)) for r in made.select(*ends).collect()) == want
+
+
+def test_a_run_reads_its_cleaned_trips_for_usage_and_fact_only(spark, monkeypatch):
+    """Stations are told from few rows of usage, labels and days from the written fact."""
+    read = {}
+    for name in ("station_identity", "dim_station", "dim_membership", "dim_date"):
+        plain = getattr(O, name)
+        monkeypatch.setattr(O, name, lambda rows, *more, name=name, plain=plain: (read.update({name: {f.split("/model/")[-1].split("/")[0] for f in rows.inputFiles()}}), plain(rows, *more))[1])
+    assert C.QUERIES["run_metrics"](spark, SF).count() == 12
+    assert read == {"station_identity": {"station_usage"}, "dim_station": {"station_usage"}, "dim_membership": {"fact_trips"}, "dim_date": {"fact_trips"}}
