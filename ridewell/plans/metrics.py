@@ -181,7 +181,9 @@ def bike_eras(coverage: DataFrame, least: float = BIKE_COVERAGE) -> DataFrame:
 
 def dwell(fact: DataFrame, eras: DataFrame) -> DataFrame:
     """How long bikes stand at a dock, by era and year of arrival; moved bikes and disorder are counted apart."""
-    rows = complete(fact).filter("bike_id is not null").join(eras.withColumnRenamed("system_id", "_s"), (F.col("system_id") == F.col("_s")) & F.col("trip_year").between(F.col("lo"), F.col("hi"))).drop("_s")
+    # A row for each run of years of a system. Shuffled to it by system, all trips of one would be in a task, and the chains would be sorted there.
+    eras = F.broadcast(eras.withColumnRenamed("system_id", "_s"))
+    rows = complete(fact).filter("bike_id is not null").join(eras, (F.col("system_id") == F.col("_s")) & F.col("trip_year").between(F.col("lo"), F.col("hi"))).drop("_s")
     chain = Window.partitionBy("system_id", "bike_id", "lo").orderBy(F.asc_nulls_last("departure_ts"), F.asc_nulls_last("return_ts"), F.asc_nulls_last("departure_station_id"), F.asc_nulls_last("return_station_id"))
     nxt = rows.withColumns({"next_ts": F.lead("departure_ts").over(chain), "next_station": F.lead("departure_station_id").over(chain)})
     nxt = nxt.filter("return_ts is not null and return_station_id is not null and next_ts is not null and next_station is not null").filter(F.year("return_ts").between(F.col("lo"), F.col("hi")))

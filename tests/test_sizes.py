@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ridewell.operators import trips as O
 from ridewell.plans import catalog as C
+from ridewell.plans import metrics as M
 from ridewell.sources import sample as D
 from ridewell.sources import scratch
 
@@ -89,3 +90,10 @@ def test_a_run_reads_its_cleaned_trips_for_usage_and_fact_only(spark, monkeypatc
         monkeypatch.setattr(O, name, lambda rows, *more, name=name, plain=plain: (read.update({name: {f.split("/model/")[-1].split("/")[0] for f in rows.inputFiles()}}), plain(rows, *more))[1])
     assert C.QUERIES["run_metrics"](spark, SF).count() == 12
     assert read == {"station_identity": {"station_usage"}, "dim_station": {"station_usage"}, "dim_membership": {"fact_trips"}, "dim_date": {"fact_trips"}}
+
+
+def test_chains_of_bikes_are_dealt_by_bike(spark, unbroadcast):
+    """A system's trips do not meet in one task, however its runs of years are known."""
+    fact = D.fact_o(spark, SF)
+    dealt = [p.outputPartitioning().toString() for p in planned(M.dwell(fact, M.bike_eras(M.bike_coverage(fact)))) if p.nodeName() == "Exchange" and "bike_id" in {p.output().apply(i).name() for i in range(p.output().size())}]
+    assert dealt and all("bike_id" in d for d in dealt)
