@@ -97,3 +97,15 @@ def test_chains_of_bikes_are_dealt_by_bike(spark, unbroadcast):
     fact = D.fact_o(spark, SF)
     dealt = [p.outputPartitioning().toString() for p in planned(M.dwell(fact, M.bike_eras(M.bike_coverage(fact)))) if p.nodeName() == "Exchange" and "bike_id" in {p.output().apply(i).name() for i in range(p.output().size())}]
     assert dealt and all("bike_id" in d for d in dealt)
+
+
+def test_only_rows_that_may_repeat_are_sorted_and_without_their_texts(spark):
+    """Elsewhere a repeat is kept, so its place is not looked for; a row that two reasons drop has the first."""
+    rows = C.landed(spark, SF)
+    sorted_ = [{p.output().apply(i).name() for i in range(p.output().size())} for p in planned(O.funnel(rows)) if p.nodeName() == "Sort"]
+    assert sorted_ and not any(s & {"departure_station_key", "departure_station_name"} for s in sorted_)
+    assert {r["system_id"] for r in rows.filter("at is not null").select("system_id").distinct().collect()} == {"sys-1"}
+    assert rows.filter("at is null and system_id <=> 'sys-1'").count() == 0 and rows.count() == D.read(spark, SF, "lineitem").count()
+    bare = F.col("departure_station_key").isNull() & F.col("departure_station_name").isNull()
+    want = F.when(F.col("departure_ts").isNull(), "no_time").when(bare, "no_station").when(F.col("at") > 1, "duplicate")
+    assert rows.filter(~F.col("reason").eqNullSafe(want)).count() == 0
