@@ -124,9 +124,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the splitmix64 finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
@@ -142,6 +145,14 @@ def stretch(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def stretches(sums: np.ndarray, size: int) -> np.ndarray:
+    """stretch() of `size` bytes from every place on."""
+    out = sums[size:] - sums[:-size]
+    out *= powers(len(sums))[1][: len(out)]
+    out += np.uint64(size)
+    return mix(out)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of all words; words never cross rows."""
     n = len(data)
@@ -194,7 +205,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
 
 def by_bucket(bucket: np.ndarray, n: int, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Deal rows out to their buckets."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.min_scalar_type(n)), kind="stable")  # numbers of 16 bits are sorted in one pass
     edges = np.searchsorted(bucket[order], np.arange(n + 1))
     columns = tuple(c[order] for c in columns)
     for b in np.flatnonzero(np.diff(edges)):

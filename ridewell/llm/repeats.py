@@ -12,11 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, by_bucket, mix, partitions, pieces, prefix_sums, spill, stretch, table, utf8
+from .common import bucketed, by_bucket, mix, partitions, pieces, prefix_sums, spill, stretch, stretches, table, utf8
 
 #: Bytes of an anchor, by which windows of a repeat find each other.
 ANCHOR = 20
 _PLACE = np.uint64(23)
+_PLACES = np.uint64((1 << int(_PLACE)) - 1)
 _NONE = np.zeros(0, np.uint64)
 
 
@@ -33,36 +34,37 @@ def regions(data: np.ndarray, offsets: np.ndarray, width: int, crowded: np.ndarr
     if n < width:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     sums = prefix_sums(data)
-    places = np.arange(n - ANCHOR + 1)
-    hashes = stretch(sums, places, places + ANCHOR)
-    least = hashes >> _PLACE << _PLACE | places.astype(np.uint64)
+    hashes = stretches(sums, ANCHOR)
+    least = hashes & ~_PLACES
+    least |= np.arange(len(least), dtype=np.uint64)
     size = 1
     while size * 2 <= span:
         least = np.minimum(least[: len(least) - size], least[size:])
         size *= 2
     if span > size:
         least = np.minimum(least[: len(least) - (span - size)], least[span - size :])
-    anchor = (least & np.uint64((1 << int(_PLACE)) - 1)).astype(np.int64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    inside = row[: len(anchor)] == row[width - 1 : width - 1 + len(anchor)]
-    edge = np.ones(len(anchor), bool)
-    edge[1:] = (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])
-    first = np.flatnonzero(edge)
-    count = np.diff(first, append=len(anchor))
-    keep = inside[first]
-    first, count = first[keep], count[keep]
-    length = count + width - 1
-    content = mix(stretch(sums, first, first + length) + (anchor[first] - first).astype(np.uint64))
-    key = hashes[anchor[first]]
+    edge = np.ones(len(least) + width, bool)
+    np.not_equal(least[1:], least[:-1], out=edge[1 : len(least)])
+    edge[offsets] = True
+    edge[np.maximum(offsets[1:] - (width - 1), offsets[:-1])] = True
+    first = np.flatnonzero(edge[: len(least)])
+    count = np.diff(first, append=len(least))
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(first, offsets)))
+    keep = first + width <= offsets[row + 1]
+    first, count, row = first[keep], count[keep], row[keep]
+    anchor = (least[first] & _PLACES).astype(np.int64)
+    length = count + (width - 1)
+    content = mix(stretch(sums, first, first + length) + (anchor - first).astype(np.uint64))
+    key = hashes[anchor]
     if len(crowded):
         split = crowded[np.minimum(np.searchsorted(crowded, key), len(crowded) - 1)] == key
         many = np.where(split, count, 1)
         of = np.repeat(np.arange(len(first)), many)
         first = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-        split, key, content, length = split[of], key[of], content[of], length[of]
+        split, key, content, length, row = split[of], key[of], content[of], length[of], row[of]
         key[split] = content[split] = stretch(sums, first[split], first[split] + width)
         length[split] = width
-    return key, content, row[first], first - offsets[row[first]], length
+    return key, content, row, first - offsets[row], length
 
 
 def place_of(doc: np.ndarray, parts: int) -> np.ndarray:
@@ -121,19 +123,27 @@ def _span_rows(doc: np.ndarray, start: np.ndarray, end: np.ndarray, parts: int)
     return [(b, _SPANS, _pack(d, s.astype(np.uint32), (e - s).astype(np.uint32))) for b, (d, s, e) in by_bucket(place_of(doc, parts), parts, doc, start, end)]
 
 
-def _leaders(content: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order by content and document; which rows then have their content's smallest document."""
-    order = np.lexsort((doc, content))
-    content, doc = content[order], doc[order]
-    first = np.ones(len(order), bool)
-    first[1:] = content[1:] != content[:-1]
-    return order, doc == doc[first][np.cumsum(first) - 1]
+def _classes(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by key, where in it each class of equals begins, and how many it has."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+    return order, first, np.diff(first, append=len(key))
+
+
+def _leads(content: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which rows have their content's smallest document."""
+    order, first, size = _classes(content)
+    out, doc = np.zeros(len(doc), bool), doc[order]
+    if len(first):
+        out[order] = doc == np.repeat(np.minimum.reduceat(doc, first), size)
+    return out
 
 
 def _regions(batches: Iterator[pa.RecordBatch], width: int, crowded: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """Anchor hash, region hash, document, start and length of the regions of a slice of texts at a time."""
     for batch in batches:
-        for part in pieces(batch, "text", 1 << 20):
+        for part in pieces(batch, "text", 1 << 17):
             ids = np.asarray(part["doc_id"].cast(pa.int64()))
             data, offsets = utf8(part["text"])
             most = 1 << int(_PLACE)
@@ -153,18 +163,22 @@ def _crowds(batches: Iterator[pa.RecordBatch], width: int, least: int, flush: in
     What stays untold is less than `least` of each `flush` regions, far less than a part's share.
     """
     held: list[tuple[np.ndarray, ...]] = []
+    rows = 0
 
     def counted() -> pa.RecordBatch:
         anchor, content = map(np.concatenate, zip(*held, strict=True))
         held.clear()
-        anchor, n = np.unique(anchor[np.unique(content, return_index=True)[1]], return_counts=True)
+        order, first, _ = _classes(content)
+        anchor, n = np.unique(anchor[order[first]], return_counts=True)
         many = n >= least
         return pa.RecordBatch.from_arrays([pa.array(anchor[many].view(np.int64)), pa.array(n[many], pa.int64())], ["anchor", "n"])
 
     for h, c, *_ in _regions(batches, width, _NONE):
         held.append((h, c))
-        if sum(len(x[0]) for x in held) > flush:
+        rows += len(h)
+        if rows > flush:
             yield counted()
+            rows = 0
     if held:
         yield counted()
 
@@ -175,26 +189,27 @@ def _anchors(batches: Iterator[pa.RecordBatch], width: int, parts: int, crowded:
     The others lie in a larger document than an equal region does, so all their bytes go.
     """
     held: list[tuple[np.ndarray, ...]] = []
+    waiting = 0
 
     def sent() -> pa.RecordBatch:
         anchor, content, doc, start, length = map(np.concatenate, zip(*held, strict=True))
         held.clear()
-        order, leads = _leaders(content, doc)
-        tail, lead = order[~leads], order[leads]
-        rows = _span_rows(doc[tail], start[tail], start[tail] + length[tail], parts)
-        anchor = anchor[lead]
+        leads = _leads(content, doc)
+        rows = _span_rows(doc[~leads], start[~leads], start[~leads] + length[~leads], parts)
+        anchor = anchor[leads]
         bucket = ((anchor >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-        by_doc = np.argsort(doc[lead], kind="stable")
-        columns = [c[by_doc] for c in (bucket, anchor, content[lead], doc[lead], start[lead], length[lead])]
-        for b, (h, c, d, s, n) in by_bucket(columns[0], parts, *columns[1:]):
+        # The regions of a document follow each other, and do so in each bucket.
+        for b, (h, c, d, s, n) in by_bucket(bucket, parts, anchor, content[leads], doc[leads], start[leads], length[leads]):
             at = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
             rows.append((b, _LEADERS, _pack(d[at], np.diff(at, append=len(d)).astype(np.uint32)) + _pack(h.astype(np.uint32), c, s.astype(np.uint32), n.astype(np.uint8))))
         return _rows(rows)
 
     for made in _regions(batches, width, crowded):
         held.append(made)
-        if sum(len(x[0]) for x in held) > flush:
+        waiting += len(made[0])
+        if waiting > flush:
             yield sent()
+            waiting = 0
     if held:
         yield sent()
 
@@ -222,52 +237,48 @@ def _meet(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
     doc = np.concatenate(docs)
     anchor, content, start, length = (np.concatenate([c[i] for c in columns]) for i in range(4))
     columns.clear()
-    order, leads = _leaders(content, doc)
-    leads |= anchor[order] == content[order].astype(np.uint32)
-    tail, lead = order[~leads], order[leads]
+    leads = _leads(content, doc) | (anchor == content.astype(np.uint32))
     start = start.astype(np.int64)
-    rows = _span_rows(doc[tail], start[tail], start[tail] + length[tail], parts)
-    by_anchor = lead[np.lexsort((doc[lead], anchor[lead]))]
-    h, c, d = anchor[by_anchor], content[by_anchor], doc[by_anchor]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
+    rows = _span_rows(doc[~leads], start[~leads], start[~leads] + length[~leads], parts)
+    doc, anchor, start, length = doc[leads], anchor[leads], start[leads], length[leads]
+    order, first, size = _classes(anchor)
     if len(first):
-        last = np.append(first[1:], len(h)) - 1
-        several = np.repeat(d[first] != d[last], np.diff(first, append=len(h)))
-        ask = by_anchor[several]
+        owner = doc[order]
+        ask = order[np.repeat(np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first), size)]
         for b, (dd, ss, nn, hh) in by_bucket(place_of(doc[ask], parts), parts, doc[ask], start[ask], length[ask], anchor[ask]):
             rows.append((b, _ASKED, _pack(dd, ss.astype(np.uint32), nn, hh)))
     for a in range(0, len(rows), 500):
         yield _rows(rows[a : a + 500])
 
 
+def _stretched(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start to start + size of each row, one row after the other."""
+    end = np.cumsum(size, dtype=np.int64)
+    return np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)
+
+
 def _fetch(parts: int, key, texts: pa.Table, asked: pa.Table) -> pa.Table:
     """The texts that were asked for, dealt out by their anchors."""
     doc, start, length, anchor = _gather(asked["packed"].to_pylist(), "<i8", "<u4", "u1", "<u4")
-    order = np.argsort(doc, kind="stable")
-    doc, start, length, anchor = doc[order], start[order], length[order], anchor[order]
-    found, seen = [], set()
-    for batch in texts.select(["doc_id", "text"]).to_batches():
+    ids, row = np.unique(texts["doc_id"].to_numpy(), return_index=True)
+    if not len(ids):
+        return pa.Table.from_batches([_rows([])])
+    at = np.minimum(np.searchsorted(ids, doc), len(ids) - 1)
+    there = ids[at] == doc
+    row, doc, start, length, anchor = row[at][there], doc[there], start[there], length[there], anchor[there]
+    order = np.argsort(row)
+    row, doc, start, length, anchor = row[order], doc[order], start[order], length[order], anchor[order]
+    found, a, below = [np.zeros(0, np.uint8)], 0, 0
+    for batch in texts.select(["text"]).to_batches():
         data, offsets = utf8(batch["text"])
-        for i, d in enumerate(batch["doc_id"].to_pylist()):
-            if d in seen:
-                continue
-            seen.add(d)
-            a, b = np.searchsorted(doc, [d, d + 1])
-            if a < b:
-                raw = data[offsets[i] : offsets[i + 1]].tobytes()
-                found += [(raw[s : s + n]) for s, n in zip(start[a:b].tolist(), length[a:b].tolist(), strict=True)]
-    kept = np.isin(doc, np.fromiter(seen, np.int64, len(seen)))
-    doc, start, length, anchor = doc[kept], start[kept], length[kept], anchor[kept]
-    # Rows of `doc` ascend; texts came in the table's order of documents.
-    names = [d for d in dict.fromkeys(texts["doc_id"].to_pylist())]
-    at = {d: np.searchsorted(doc, [d, d + 1]) for d in names}
-    order = np.concatenate([np.arange(*at[d]) for d in names]) if names else np.zeros(0, int)
-    doc, start, length, anchor = doc[order], start[order], length[order], anchor[order]
-    text = np.array(found, object)
+        b = int(np.searchsorted(row, below + len(batch)))
+        found.append(data[_stretched(offsets[row[a:b] - below] + start[a:b], length[a:b])])
+        a, below = b, below + len(batch)
+    data, begin = np.concatenate(found), np.cumsum(length, dtype=np.int64) - length
     rows = []
     bucket = (mix(anchor.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-    for b, (d, s, n, h, t) in by_bucket(bucket, parts, doc, start, length, anchor, text):
-        rows.append((b, _TEXTS, _pack(d, s, n, h) + b"".join(t)))
+    for b, (d, s, n, h, t) in by_bucket(bucket, parts, doc, start, length, anchor, begin):
+        rows.append((b, _TEXTS, _pack(d, s, n, h) + data[_stretched(t, n)].tobytes()))
     return pa.Table.from_batches([_rows(rows)])
 
 
@@ -361,47 +372,71 @@ def _least(common: np.ndarray, first: np.ndarray, last: np.ndarray, symbol: np.n
     return out
 
 
-def repeated(strings: list[bytes], doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(string, offset) of every window that a string of a smaller document holds too."""
-    _, common, string, suffix = transform(strings)
-    run = np.flatnonzero(common < width)
-    if not len(run):
-        return np.zeros(0, int), np.zeros(0, int)
-    owner = doc[string]
-    least = np.repeat(np.minimum.reduceat(owner, run), np.diff(run, append=len(common)))
-    found = (owner > least) & (suffix >= width)
-    sizes = np.array([len(s) for s in strings])
-    return string[found], sizes[string[found]] - suffix[found]
-
+def repeated(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(string, offset) of every window that a string of a smaller document holds too.
 
-def _resolve(batches: Iterator[pa.RecordBatch], width: int, parts: int, least: int = 4096) -> Iterator[pa.RecordBatch]:
+    The transform column by column, as in transform(), of strings laid out by their anchors. Equal
+    windows have equal anchors at equal places, so only suffixes that begin at one place from the
+    anchor are sorted among each other: a round handles each string once, whatever rounds went
+    before. It puts the symbol before each suffix in front, which sorts the longer suffixes stably
+    by it; what neighbours share is one more than the least common prefix between their places in
+    the round before. Symbol 0 stands where a string is not; no window reaches there. Bytes of
+    UTF-8 are below 255.
+    """
+    n, before = len(size), width - ANCHOR
+    at = start + np.arange(before + 1)[:, None]
+    place = (stretch(prefix_sums(data), at, at + ANCHOR) & ~_PLACES).argmin(0)
+    zero, behind = start + place, size - place
+    order, common = np.arange(n), np.zeros(n + 1, np.uint8)
+    edges, same = np.zeros(n + 1, np.int64), np.zeros(n, bool)
+    strings, offsets = [], []
+    for at in range(width - 1, -before - 1, -1):
+        inside = behind[order] > at if at >= 0 else place[order] >= -at
+        symbol = np.where(inside, data[np.clip(zero[order] + at, 0, len(data) - 1)] + np.uint8(1), np.uint8(0))
+        to = np.argsort(symbol, kind="stable")
+        order, symbol = order[to], symbol[to]
+        np.add(to, 1, out=edges[1:])
+        np.equal(symbol[1:], symbol[:-1], out=same[1:])
+        # Of rows of one symbol, each begins behind the one above; at other rows nothing is shared.
+        common[:n] = (np.minimum.reduceat(common, edges)[:n] + np.uint8(1)) * same
+        if at > 0:
+            continue
+        run = np.flatnonzero(common[:n] < width)
+        owner = doc[order]
+        found = owner > np.repeat(np.minimum.reduceat(owner, run), np.diff(run, append=n))
+        found &= (place[order] >= -at) & (behind[order] >= width + at)
+        strings.append(order[found])
+        offsets.append(place[order[found]] + at)
+    return np.concatenate(strings), np.concatenate(offsets)
+
+
+def _resolve(batches: Iterator[pa.RecordBatch], width: int, parts: int, least: int = 1 << 14) -> Iterator[pa.RecordBatch]:
     """Spans of the windows that repeat among a part's strings.
 
     Strings of different anchors have no window in common, so the collection of whole anchors from
     `least` strings on is sorted by itself, while its columns still fit a processor's cache.
     """
-    strings, docs, starts, anchors = [], [], [], []
+    columns, texts = [], []
     for batch in batches:
         for packed in batch["packed"].to_pylist():
-            d, s, n, h = _unpack(packed, "<i8", "<u4", "u1", "<u4")
-            edge = 4 + 17 * len(d) + np.cumsum(n, dtype=np.int64)
-            strings += [packed[b - m : b] for b, m in zip(edge.tolist(), n.tolist(), strict=True)]
-            docs.append(d)
-            starts.append(s)
-            anchors.append(h)
-    if not strings:
+            columns.append(_unpack(packed, "<i8", "<u4", "u1", "<u4"))
+            texts.append(packed[4 + 17 * len(columns[-1][0]) :])
+    if not columns:
         return
-    doc, start, anchor = np.concatenate(docs), np.concatenate(starts).astype(np.int64), np.concatenate(anchors)
-    order = np.argsort(anchor, kind="stable")
-    edges = np.flatnonzero(np.diff(anchor[order].astype(np.int64), prepend=-1, append=-1))
+    doc, start, size, anchor = (np.concatenate([c[i] for c in columns]) for i in range(4))
+    start, size = start.astype(np.int64), size.astype(np.int64)
+    data, begin = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size
+    columns.clear()
+    texts.clear()
+    order, first, _ = _classes(anchor)
+    edges = np.append(first, len(order))
     a = 0
     while a < len(order):
         b = int(edges[min(np.searchsorted(edges, a + least), len(edges) - 1)])
         mine = order[a:b]
-        string, offset = repeated([strings[i] for i in mine.tolist()], doc[mine], width)
-        owner = doc[mine][string]
+        string, offset = repeated(data[_stretched(begin[mine], size[mine])], np.cumsum(size[mine]) - size[mine], size[mine], doc[mine], width)
         at = start[mine][string] + offset
-        yield _rows(_span_rows(owner, at, at + width, parts))
+        yield _rows(_span_rows(doc[mine][string], at, at + width, parts))
         a = b
 
 
