@@ -7,6 +7,7 @@ import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -50,29 +51,37 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def spill(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors.
-
-    The written table stands for df from here on, so shuffle files of the write are let go at its end.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+@contextmanager
+def let_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write are let go at its end; the written table stands for its rows from there on."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def spill(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    with let_go(spark):
+        df.write.option("compression", "zstd").parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """A scratch table bucketed by key, so that later joins on key leave these rows where they are."""
+    """A scratch table bucketed by key, numbers below `buckets`, so that later joins on key leave these rows where they are.
+
+    A number's rows are brought into one task and so into one file; else each task would write a file for each bucket.
+    """
     spark = df.sparkSession
     name = f"llm_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).option("compression", "zstd").format("parquet").saveAsTable(name)
+    with let_go(spark):
+        df.repartitionById(buckets, F.col(key)).write.bucketBy(buckets, key).option("compression", "zstd").format("parquet").saveAsTable(name)
 
     def drop() -> None:
         if spark._jsc is not None and spark._jsc.sc() is not None and not spark._jsc.sc().isStopped():

@@ -487,11 +487,11 @@ def remove_repeats(docs: DataFrame, width: int = 50, crowd: int = 4096) -> DataF
     crowds = named.mapInArrow(partial(_crowds, width=width, least=max(1, crowd // 512)), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     # At most 8 bytes for `crowd` regions of the input.
     crowded = np.sort(crowds.filter(F.col("n") > crowd).select("anchor").toArrow()["anchor"].to_numpy().astype(np.int64).view(np.uint64))
-    met = named.mapInArrow(partial(_anchors, width=width, parts=parts, crowded=crowded), _FORM).repartition(parts, "part").mapInArrow(partial(_meet, parts=parts), _FORM)
+    met = named.mapInArrow(partial(_anchors, width=width, parts=parts, crowded=crowded), _FORM).repartitionById(parts, F.col("part")).mapInArrow(partial(_meet, parts=parts), _FORM)
     met = spill(met)
     asked = met.filter(F.col("kind") == _ASKED)
     fetched = texts.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(lambda k, a, b: _fetch(parts, k, a, b), _FORM)
-    solved = fetched.repartition(parts, "part").mapInArrow(partial(_resolve, width=width, parts=parts), _FORM)
+    solved = fetched.repartitionById(parts, F.col("part")).mapInArrow(partial(_resolve, width=width, parts=parts), _FORM)
     spans = met.filter(F.col("kind") == _SPANS).unionByName(solved)
     done = texts.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     zero = F.lit(0).cast("long")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from ridewell.llm import chat, langid, mixing, ngram_join, pieces, quality_rules, queries, repeats, secrets, token_counts, topk
+from ridewell.llm import chat, common, langid, mixing, ngram_join, pieces, quality_rules, queries, repeats, secrets, token_counts, topk
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
@@ -137,6 +137,14 @@ def test_repeats_of_a_long_text_behind_short_ones(spark):
     assert got == want and [want[d][1] for d in texts] == [0, 0, 90, 90, 90]
 
 
+def test_texts_of_a_bucket_are_one_file(spark):
+    """However many tasks write them; before, each wrote a file for each of its buckets."""
+    rows = spark.range(0, 400, 1, 8).withColumnRenamed("id", "doc_id").withColumn("part", repeats.place_column(20))
+    made = common.bucketed(rows, "part", 20)
+    assert sorted(r.doc_id for r in made.collect()) == list(range(400))
+    assert len(made.inputFiles()) == 20 == made.select("part").distinct().count()
+
+
 def test_repeats_under_a_crowded_anchor(spark):
     rng = np.random.default_rng(6)
     prose = lambda n: "".join(map(chr, rng.integers(97, 101, n)))
