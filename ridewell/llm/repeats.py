@@ -469,12 +469,11 @@ def remove_repeats(docs: DataFrame, width: int = 50, crowd: int = 4096) -> DataF
     Windows are grouped in regions under anchors, see regions(). Equal regions, the bulk of any copy,
     collapse to the one of the smallest document, in the task and then under the anchor, so that a
     text with very many copies never gathers anywhere. The different regions under one anchor,
-    of `width` to 2 * width bytes, are the collection whose suffixes transform() sorts. Anchors of
+    of `width` to 2 * width bytes, are the collection whose suffixes repeated() sorts. Anchors of
     more than `crowd` different regions, as over the borders of a common passage, are counted first:
     their windows meet one by one, those of the smallest document in each task, so that such a
     collection grows with the tasks and not with the documents. A region's length is a byte, so
-    widths go from ANCHOR to 137; others are refused. Within a task the transform keeps its columns in
-    temporary files of its own, which a task that is run again makes anew.
+    widths go from ANCHOR to 137; others are refused.
     """
     if not ANCHOR <= width <= 137:
         raise ValueError(f"width {width}: from {ANCHOR} to 137 bytes")
